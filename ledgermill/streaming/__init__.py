@@ -1,0 +1 @@
+"""Kept empty on purpose: every run is a batch, there is no stream, window of event time or state to keep."""
