@@ -76,7 +76,9 @@ def flagged_rows(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
 
 
 def base_transactions(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
-    rows = flagged_rows(raw, id_type).where(has_row_keys())
+    # Rows without key text can be dropped by the scan, before any pattern is tried on them.
+    with_text = raw.dropna(subset=["transaction_id", "customer_id", "transaction_date"])
+    rows = flagged_rows(with_text, id_type).where(has_row_keys())
     # Again one select: the name is filled from the parsed id, not from the id filled from the name.
     filled = {
         "product_id": F.coalesce("product_id", product_id_of(F.col("product_name"), id_type)),
