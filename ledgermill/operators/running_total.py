@@ -33,7 +33,7 @@ NO_GROUP = -1
 class RunningTotal:
     """Running sum of `value` per `group`, by `day` and then `key`.
 
-    `hot_rows=0` treats every group as hot, without counting first: for columns known to have few, large
+    `day` and `key` are not NULL. `hot_rows=0` treats every group as hot, without counting first: for columns known to have few, large
     groups. `handle` names columns that identify a row; give it where `key` may repeat, so that even the
     copies of one key are spread and get their totals in a fixed order.
     """
@@ -101,8 +101,13 @@ def _mark_chunks(rows: DataFrame, source: DataFrame, spec: RunningTotal) -> Data
 def _offsets(source: DataFrame, spec: RunningTotal) -> DataFrame:
     """Total of everything before each chunk of the hot groups."""
     before = (W.unboundedPreceding, -1)
+    # The NULL tests are stated, or the optimizer adds them to one of the two uses of `chunks` only, and the
+    # shuffle below them is no longer shared.
     chunks = (
-        _mark_chunks(source, source, spec).where("_hot").groupBy(*spec.chunk).agg(F.sum(spec.value).alias("_total"))
+        _mark_chunks(source, source, spec)
+        .where("_hot AND _day IS NOT NULL AND _block IS NOT NULL")
+        .groupBy(*spec.chunk)
+        .agg(F.sum(spec.value).alias("_total"))
     )
     in_day = W.partitionBy("_slot", "_day").orderBy(*spec.chunk[2:]).rowsBetween(*before)
     across_days = W.partitionBy("_slot").orderBy("_day").rowsBetween(*before)

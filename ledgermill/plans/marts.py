@@ -3,7 +3,7 @@
 import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import buckets
@@ -13,9 +13,8 @@ from ledgermill.operators.running_total import HOT_GROUP_ROWS, KEY_BITS, Running
 from ledgermill.sources.tables import ROW_HANDLE
 
 
-def fact_rows(stg: DataFrame) -> DataFrame:
-    """One row per transaction with date parts and buckets: everything but the running totals, no shuffle."""
-    return stg.where(F.col("transaction_id").isNotNull()).select(
+def _fact_columns() -> list[Column | str]:
+    return [
         "transaction_id",
         "customer_id",
         "product_id",
@@ -32,8 +31,12 @@ def fact_rows(stg: DataFrame) -> DataFrame:
         "data_quality_flag",
         "processed_at",
         F.current_timestamp().alias("created_at"),
-        *[name for name in ROW_HANDLE if name in stg.columns],
-    )
+    ]
+
+
+def fact_rows(stg: DataFrame) -> DataFrame:
+    """One row per transaction with date parts and buckets: everything but the running totals, no shuffle."""
+    return stg.where(F.col("transaction_id").isNotNull()).select(*_fact_columns())
 
 
 def customer_spend(hot_rows: int = HOT_GROUP_ROWS, key_bits: int = KEY_BITS) -> RunningTotal:
@@ -53,16 +56,18 @@ def product_quantity(hot_rows: int = 0, key_bits: int = KEY_BITS) -> RunningTota
 def fact_transactions(
     stg: DataFrame, spend: RunningTotal | None = None, quantity: RunningTotal | None = None
 ) -> DataFrame:
-    """Rows of one day and group are totalled in the order of the transaction id.
+    """Fact rows with running totals; rows of one day and group are totalled in the order of the transaction id.
 
-    Where `stg` carries a row handle (see `with_row_handle`), repeated ids are spread and ordered by it.
+    The totals come first and the derived columns last, so that only staging columns go through the two
+    shuffles. Where `stg` carries a row handle (see `with_row_handle`), repeated ids are spread and ordered
+    by it.
     """
     spend, quantity = spend or customer_spend(), quantity or product_quantity()
-    rows = fact_rows(stg)
     if set(ROW_HANDLE) <= set(stg.columns):
         spend, quantity = replace(spend, handle=ROW_HANDLE), replace(quantity, handle=ROW_HANDLE)
-    fact = with_running_total(with_running_total(rows, spend), quantity, source=rows)
-    return fact.drop(*ROW_HANDLE)
+    rows = stg.where(F.col("transaction_id").isNotNull())
+    totalled = with_running_total(with_running_total(rows, spend), quantity, source=rows)
+    return totalled.select(*_fact_columns(), spend.name, quantity.name)
 
 
 def dim_customer(stg: DataFrame, as_of: dt.date | None = None, unique_ids: bool = False) -> DataFrame:

@@ -55,15 +55,16 @@ def write_staging(spark: SparkSession, layout: Layout, id_type: str = staging.ID
 
 
 def _stored_outcome(spark: SparkSession, layout: Layout, outcome: str) -> DataFrame:
+    """The rows of one outcome. The folder tells them apart: no amount has to be read and tested again."""
     return read_table(spark, layout.parsed).where(F.col("outcome") == outcome)
 
 
 def read_staging(spark: SparkSession, layout: Layout) -> DataFrame:
-    return staging.stg_transactions(_stored_outcome(spark, layout, CLEAN))
+    return staging.clean_columns(_stored_outcome(spark, layout, CLEAN))
 
 
 def read_audit(spark: SparkSession, layout: Layout) -> DataFrame:
-    return staging.audit_transactions(_stored_outcome(spark, layout, REJECTED))
+    return staging.rejected_columns(_stored_outcome(spark, layout, REJECTED))
 
 
 def ids_are_unique(stg: DataFrame) -> bool:
@@ -98,7 +99,7 @@ def write_marts(spark: SparkSession, layout: Layout, as_of: dt.date | None, id_t
 def with_stored_handle(spark: SparkSession, layout: Layout) -> DataFrame:
     """Staging rows with the handle of their stored row."""
     stored = with_row_handle(read_table(spark, layout.parsed)).where(F.col("outcome") == CLEAN)
-    return staging.stg_transactions(stored)
+    return staging.clean_columns(stored)
 
 
 def read_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

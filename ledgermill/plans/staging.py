@@ -117,7 +117,15 @@ def _processed_at(base: DataFrame) -> Column:
 
 
 def stg_transactions(base: DataFrame) -> DataFrame:
-    return base.where(is_clean()).select(
+    return clean_columns(base.where(is_clean()))
+
+
+def audit_transactions(base: DataFrame) -> DataFrame:
+    return rejected_columns(base.where(~is_clean()))
+
+
+def clean_columns(clean: DataFrame) -> DataFrame:
+    return clean.select(
         "transaction_id",
         "customer_id",
         "transaction_date",
@@ -130,15 +138,13 @@ def stg_transactions(base: DataFrame) -> DataFrame:
         F.col("tax").alias("tax_amount"),
         F.lit(CLEAN_FLAG).alias("data_quality_flag"),
         "loaded_at",
-        _processed_at(base).alias("processed_at"),
-        *[name for name in ROW_HANDLE if name in base.columns],
+        _processed_at(clean).alias("processed_at"),
+        *[name for name in ROW_HANDLE if name in clean.columns],
     )
 
 
-def audit_transactions(base: DataFrame) -> DataFrame:
-    return base.where(
-        F.col("quantity").isNull() | F.col("price").isNull() | F.col("tax").isNull()
-    ).select(
+def rejected_columns(rejected: DataFrame) -> DataFrame:
+    return rejected.select(
         "transaction_id",
         "customer_id",
         "transaction_date",
@@ -150,5 +156,5 @@ def audit_transactions(base: DataFrame) -> DataFrame:
         rejection_reason().alias("rejection_reason"),
         "loaded_at",
         "source_file",
-        _processed_at(base).alias("audited_at"),
+        _processed_at(rejected).alias("audited_at"),
     )
