@@ -22,8 +22,8 @@ def customer_status(idle_days: Column) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """part / whole * 100, NULL when the whole is 0."""
-    return part / F.nullif(whole, F.lit(0)) * 100
+    """part / whole * 100, NULL when the whole is 0. Multiplying first spares the rounding of a quotient."""
+    return part * 100 / F.nullif(whole, F.lit(0))
 
 
 def precise_average(total: Column, count: Column) -> Column:

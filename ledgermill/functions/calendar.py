@@ -5,16 +5,36 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: month names are blank-padded to the width of the longest one.
+# Month names, blank-padded to the width of the longest one.
+MONTH_NAMES = (
+    "January",
+    "February",
+    "March",
+    "April",
+    "May",
+    "June",
+    "July",
+    "August",
+    "September",
+    "October",
+    "November",
+    "December",
+)
 MONTH_NAME_WIDTH = 9
 
 
+def month_name(day: Column) -> Column:
+    """A look-up in a constant array: a date pattern would run a formatter on every row."""
+    names = F.array(*[F.lit(name.ljust(MONTH_NAME_WIDTH)) for name in MONTH_NAMES])
+    return F.element_at(names, F.month(day))
+
+
 def date_parts(day: Column) -> list[Column]:
     return [
         F.year(day).alias("transaction_year"),
         F.month(day).alias("transaction_month"),
         F.quarter(day).alias("transaction_quarter"),
-        F.rpad(F.date_format(day, "MMMM"), MONTH_NAME_WIDTH, " ").alias("transaction_month_name"),
+        month_name(day).alias("transaction_month_name"),
         F.dayofmonth(day).alias("transaction_day"),
         F.weekofyear(day).alias("transaction_week"),
     ]

@@ -131,12 +131,13 @@ def year_month_coverage(fact: DataFrame) -> DataFrame:
 def recent_customer_spend(fact: DataFrame, customers: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Transactions and spend of the last 30 days per customer and status.
 
-    Facts are summed per customer before the join: a hot customer is one row by then. The year filter follows
-    from the day filter; it lets a fact table stored in month folders skip the older years.
+    Facts are summed per customer before the join: a hot customer is one row by then. The month filter follows
+    from the day filter; it lets a fact table stored in month folders skip the older ones.
     """
     since = F.date_sub(today(as_of), 30)
+    month = F.col("transaction_year") * 12 + F.col("transaction_month")
     spend = (
-        fact.where((F.col("transaction_date") >= since) & (F.col("transaction_year") >= F.year(since)))
+        fact.where((F.col("transaction_date") >= since) & (month >= F.year(since) * 12 + F.month(since)))
         .groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("total_amount").alias("spend"))
     )

@@ -56,7 +56,7 @@ def product_name_of(number: Column) -> Column:
 
 
 def has_row_keys() -> Column:
-    """Rows without a parsed id, customer or date are dropped; they go neither to staging nor to audit."""
+    """Rows without an id, customer or date are dropped; they go neither to staging nor to audit."""
     return (
         F.col("transaction_id").isNotNull()
         & F.col("customer_id").isNotNull()
@@ -64,21 +64,33 @@ def has_row_keys() -> Column:
     )
 
 
+# The columns that decide whether a row is dropped, clean or rejected. Every table but raw needs them all.
+DECIDING = ("transaction_id", "customer_id", "transaction_date", "quantity", "price", "tax")
+
+
 def flagged_rows(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
-    """Every raw row with typed columns and flags, before rows are dropped and product fields filled."""
+    """Every raw row with typed columns and flags, before rows are dropped and product fields filled.
+
+    The deciding columns pass through a one-row inline. Otherwise the optimizer copies their parsing into the
+    row filters above: every pattern would run twice, and the generated method would outgrow the size up to
+    which the JVM compiles it.
+    """
+    parsed = parsed_columns(id_type)
     # One select: the flags read the raw text, the typed columns take over the same names.
-    return raw.select(
-        *[column.alias(name) for name, column in parsed_columns(id_type).items()],
+    rows = raw.select(
+        F.inline(F.array(F.struct(*[parsed[name].alias(name) for name in DECIDING]))),
+        parsed["product_id"].alias("product_id"),
+        parsed["product_name"].alias("product_name"),
         *quality_flags(),
         "loaded_at",
         "source_file",
     )
+    return rows.select(*parsed, *rows.columns[len(parsed) :])
 
 
 def base_transactions(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
     # Rows without key text can be dropped by the scan, before any pattern is tried on them.
-    with_text = raw.dropna(subset=["transaction_id", "customer_id", "transaction_date"])
-    rows = flagged_rows(with_text, id_type).where(has_row_keys())
+    rows = flagged_rows(raw.where(has_row_keys()), id_type).where(has_row_keys())
     # Again one select: the name is filled from the parsed id, not from the id filled from the name.
     filled = {
         "product_id": F.coalesce("product_id", product_id_of(F.col("product_name"), id_type)),

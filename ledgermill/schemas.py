@@ -34,6 +34,32 @@ ISSUE_SCHEMA = T.StructType(
     ]
 )
 
+FACT_COLUMNS = (
+    "transaction_id",
+    "customer_id",
+    "product_id",
+    "product_name",
+    "transaction_date",
+    "transaction_year",
+    "transaction_month",
+    "transaction_quarter",
+    "transaction_month_name",
+    "transaction_day",
+    "transaction_week",
+    "quantity",
+    "unit_price",
+    "tax_amount",
+    "total_amount",
+    "tax_percentage",
+    "volume_category",
+    "price_category",
+    "data_quality_flag",
+    "processed_at",
+    "created_at",
+    "customer_cumulative_spend",
+    "product_cumulative_quantity",
+)
+
 # The product catalogue used to fill a missing id or name.
 PRODUCT_IDS = {
     "Product A": 101,

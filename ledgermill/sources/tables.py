@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,10 +53,10 @@ def overwrite_by_month(df: DataFrame, path: str, year: str, month: str) -> None:
     overwrite(df.hint("rebalance", F.col(year), F.col(month)), path, (year, month))
 
 
-def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    """`like` restores a column order that partition folders have changed."""
+def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+    """`columns` restores an order that month folders have changed."""
     df = spark.read.parquet(path)
-    return df if like is None else df.select(*like.columns)
+    return df.select(*columns) if columns else df
 
 
 def with_row_handle(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.buckets import precise_average
 from ledgermill.plans import marts
+from ledgermill.schemas import FACT_COLUMNS
 from tests.helpers import as_set, stg_frame, stg_row
 
 
@@ -44,7 +45,8 @@ def test_tax_percentage(spark):
 
 def test_fact_columns(spark):
     fact = marts.fact_transactions(stg_frame(spark, stg_row(1), stg_row(2)))
-    assert len(fact.columns) == 23
+    assert tuple(fact.columns) == FACT_COLUMNS
+    assert len(FACT_COLUMNS) == 23
     types = dict(fact.dtypes)
     assert types["customer_cumulative_spend"] == "decimal(33,4)"
     assert types["product_cumulative_quantity"] == "decimal(20,2)"
