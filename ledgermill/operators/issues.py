@@ -24,11 +24,11 @@ SEVERITY = {
 
 
 def _bad(column: str) -> Column:
-    return F.col(f"parsed.{column}").isNull()
+    return F.col(f"parsed_{column}").isNull()
 
 
 def _cell(column: str) -> Column:
-    raw = F.col(f"raw.{column}")
+    raw = F.col(column)
     missing = raw.isNull()
     corrected = F.col("filled_product_id").cast("string") if column == "product_id" else F.lit(None).cast("string")
     return F.struct(
@@ -46,10 +46,11 @@ def _cell(column: str) -> Column:
 
 def issue_log(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
     parsed = parsed_columns(id_type)
-    # Raw and typed values side by side. Rows without a bad cell leave before the rest is spread into cells.
+    # Raw and typed values side by side, the typed ones through a one-row inline as in `flagged_rows`. Rows
+    # without a bad cell leave before the rest is spread into cells.
     rows = raw.select(
-        F.struct(*SEVERITY).alias("raw"),
-        F.struct(*[parsed[name].alias(name) for name in SEVERITY]).alias("parsed"),
+        F.inline(F.array(F.struct(*[parsed[name].alias(f"parsed_{name}") for name in SEVERITY]))),
+        *SEVERITY,
         product_id_of(F.col("product_name"), id_type).alias("filled_product_id"),
         F.regexp_extract("transaction_id", "([0-9]+)", 1).try_cast(id_type).alias("row_number"),
     )

@@ -10,7 +10,7 @@ from ledgermill.functions import buckets
 from ledgermill.functions.buckets import precise_average
 from ledgermill.functions.calendar import date_parts, days_since
 from ledgermill.operators.running_total import HOT_GROUP_ROWS, KEY_BITS, RunningTotal, with_running_total
-from ledgermill.sources.tables import ROW_HANDLE
+from ledgermill.sources.tables import ROW_HANDLE, gathered
 
 
 def _fact_columns() -> list[Column | str]:
@@ -54,19 +54,25 @@ def product_quantity(hot_rows: int = 0, key_bits: int = KEY_BITS) -> RunningTota
 
 
 def fact_transactions(
-    stg: DataFrame, spend: RunningTotal | None = None, quantity: RunningTotal | None = None
+    stg: DataFrame,
+    spend: RunningTotal | None = None,
+    quantity: RunningTotal | None = None,
+    by_month: bool = False,
 ) -> DataFrame:
     """Fact rows with running totals; rows of one day and group are totalled in the order of the transaction id.
 
-    The totals come first and the derived columns last, so that only staging columns go through the two
-    shuffles. Where `stg` carries a row handle (see `with_row_handle`), repeated ids are spread and ordered
-    by it.
+    The totals come first and the derived columns last, so that only staging columns go through the shuffles:
+    one per total, and one more with `by_month`, which gathers the rows for a table in month folders. Where
+    `stg` carries a row handle (see `with_row_handle`), repeated ids are spread and ordered by it.
     """
     spend, quantity = spend or customer_spend(), quantity or product_quantity()
     if set(ROW_HANDLE) <= set(stg.columns):
         spend, quantity = replace(spend, handle=ROW_HANDLE), replace(quantity, handle=ROW_HANDLE)
     rows = stg.where(F.col("transaction_id").isNotNull())
     totalled = with_running_total(with_running_total(rows, spend), quantity, source=rows)
+    if by_month:
+        day = F.col("transaction_date")
+        totalled = gathered(totalled.withColumns({"_year": F.year(day), "_month": F.month(day)}), "_year", "_month")
     return totalled.select(*_fact_columns(), spend.name, quantity.name)
 
 

@@ -18,13 +18,14 @@ from ledgermill.sources.tables import (
     REJECTED,
     Layout,
     overwrite,
-    overwrite_by_month,
     read_table,
     with_row_handle,
 )
 
 log = logging.getLogger(__name__)
 
+FACT_FOLDERS = ("transaction_year", "transaction_month")
+
 
 @dataclass(frozen=True)
 class SplitCounts:
@@ -85,9 +86,7 @@ def write_marts(spark: SparkSession, layout: Layout, as_of: dt.date | None, id_t
         log.warning("transaction ids repeat")
         fact_source = with_stored_handle(spark, layout)
     jobs = (
-        lambda: overwrite_by_month(
-            marts.fact_transactions(fact_source), layout.fact, "transaction_year", "transaction_month"
-        ),
+        lambda: overwrite(marts.fact_transactions(fact_source, by_month=True), layout.fact, FACT_FOLDERS),
         lambda: overwrite(marts.dim_customer(stg, as_of, unique_ids), layout.dim_customer),
         lambda: overwrite(marts.dim_product(stg, unique_ids), layout.dim_product),
         lambda: overwrite(issue_log(read_table(spark, layout.raw), id_type), layout.issues),

@@ -47,10 +47,11 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> N
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def overwrite_by_month(df: DataFrame, path: str, year: str, month: str) -> None:
-    """Full rebuild in month folders. The rebalance gives each folder few files of the advisory size: it
-    splits a large month over several tasks and merges small ones, which a plain repartition would not."""
-    overwrite(df.hint("rebalance", F.col(year), F.col(month)), path, (year, month))
+def gathered(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows ready to be written in one folder per value of the columns. The rebalance gives each folder few
+    files of the advisory size: it splits a large folder over several tasks and merges small ones, which a
+    plain repartition would not."""
+    return df.hint("rebalance", *[F.col(name) for name in columns])
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:

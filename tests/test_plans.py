@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ledgermill.plans import marts, reports, staging
 from ledgermill.plans.run import read_tables, write_marts, write_staging
+from ledgermill.schemas import FACT_COLUMNS
 from ledgermill.sources.raw_csv import load_raw
-from ledgermill.sources.tables import Layout
+from ledgermill.sources.tables import Layout, gathered, overwrite
 from tests.helpers import raw_frame
 from verification.queries import QUERIES
 
@@ -101,6 +102,29 @@ def test_dimensions_copy_no_rows(spark, stored):
         assert "Expand" not in plan_of(dim)
 
 
-def test_issue_log_spreads_only_bad_rows(spark, stored):
-    plan = plan_of(QUERIES["dq_issues"](spark, FOLDER))
-    assert plan.index("Generate") < plan.rindex("Filter")
+def test_issue_log_spreads_only_bad_rows(spark):
+    before, between, _ = plan_of(QUERIES["dq_issues"](spark, FOLDER)).split("Generate inline")
+    assert "Filter" in before and "Filter" in between
+
+
+def test_month_folders_take_one_more_shuffle_of_staging_columns(spark, stored):
+    fact = marts.fact_transactions(stored[1]["stg_transactions"], by_month=True)
+    assert tuple(fact.columns) == FACT_COLUMNS
+    plan = plan_of(fact)
+    rebalance = next(line for line in plan.splitlines() if "REBALANCE_PARTITIONS_BY_COL" in line)
+    assert "_year" in rebalance and "_month" in rebalance
+    assert plan.index("tax_percentage") < plan.index("REBALANCE_PARTITIONS_BY_COL") < plan.index("Window")
+
+
+def test_a_large_month_is_split_over_files(spark, stored, tmp_path):
+    """With a tiny advisory size, the one month that holds nearly all rows is written by several tasks."""
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") < 10, 1).otherwise(2).alias("m"), F.hash("id").alias("x"), F.uuid().alias("y")
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        overwrite(gathered(rows.repartition(8), "m"), str(tmp_path / "t"), ("m",))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "m=1").glob("*.parquet"))) == 1
+    assert len(list((tmp_path / "t" / "m=2").glob("*.parquet"))) > 3
