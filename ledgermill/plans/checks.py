@@ -163,9 +163,12 @@ def freshness(
     warn_hours: int = 24,
     error_hours: int = 48,
 ) -> DataFrame:
-    """Age of the newest row: (newest_load, age_hours, status), with status pass, warn or error."""
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    seconds = F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(F.col("newest_load").cast("timestamp"))
+    """Age of the newest row: (newest_load, age_hours, status), with status pass, warn or error.
+
+    An `as_of` without offset is in the time zone of the session, like the stamps it is compared with.
+    """
+    now = F.current_timestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp")
+    seconds = F.unix_timestamp(now) - F.unix_timestamp(F.col("newest_load").cast("timestamp"))
     newest = df.agg(F.max(loaded_at).alias("newest_load")).withColumn("age_seconds", seconds)
     status = (
         F.when(F.col("age_seconds") > error_hours * 3600, "error")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgermill.operators.issues import issue_log
 from ledgermill.operators.keys import repeated_keys
 from ledgermill.plans import checks, marts, reports, staging
-from ledgermill.schemas import FACT_COLUMNS
+from ledgermill.schemas import CLEAN_FLAG, FACT_COLUMNS, REJECTION_LABELS
 from ledgermill.sources.raw_csv import LoadCounts, load_raw, read_csv
 from ledgermill.sources.tables import (
     CLEAN,
@@ -116,11 +116,39 @@ def read_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def create_views(spark: SparkSession, layout: Layout) -> None:
-    """Makes the tables available to spark.sql under their names."""
+    """Makes the tables available to spark.sql under their plain names, for this session."""
     for name, df in read_tables(spark, layout).items():
         df.createOrReplaceTempView(name)
 
 
+def create_catalog(spark: SparkSession, layout: Layout) -> None:
+    """Makes the tables available under their layer names, such as marts.fact_transactions, for every session
+    that shares the catalog. They are views on the folders, so they show each new run at once."""
+    row = "transaction_id, customer_id, transaction_date, product_id, product_name, quantity, price, tax"
+    selects = {
+        "raw.customer_transactions_raw": f"SELECT * FROM parquet.`{layout.raw}`",
+        "raw.dq_issues": f"SELECT * FROM parquet.`{layout.issues}`",
+        "staging.stg_transactions": (
+            f"SELECT {row}, quantity * price AS total_amount, tax AS tax_amount, "
+            f"'{CLEAN_FLAG}' AS data_quality_flag, loaded_at, processed_at "
+            f"FROM parquet.`{layout.parsed}` WHERE outcome = '{CLEAN}'"
+        ),
+        "staging.audit_transactions": (
+            f"SELECT {row}, CASE WHEN quantity IS NULL THEN '{REJECTION_LABELS[0]}' "
+            f"WHEN price IS NULL THEN '{REJECTION_LABELS[1]}' WHEN tax IS NULL THEN '{REJECTION_LABELS[2]}' END "
+            f"AS rejection_reason, loaded_at, source_file, processed_at AS audited_at "
+            f"FROM parquet.`{layout.parsed}` WHERE outcome = '{REJECTED}'"
+        ),
+        "marts.fact_transactions": f"SELECT {', '.join(FACT_COLUMNS)} FROM parquet.`{layout.fact}`",
+        "marts.dim_customer": f"SELECT * FROM parquet.`{layout.dim_customer}`",
+        "marts.dim_product": f"SELECT * FROM parquet.`{layout.dim_product}`",
+    }
+    for layer in ("raw", "staging", "marts"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    for name, select in selects.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+
+
 def run(
     spark: SparkSession,
     csv_path: str,
