@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.llm.line_rules import line_quality
+from ledgermill.llm.near_copies import near_copies
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,7 +16,12 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality(documents(spark, folder))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
