@@ -2,10 +2,12 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.llm.line_rules import line_quality
 from ledgermill.llm.near_copies import near_copies
+from ledgermill.llm.packing import pack
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,8 +22,13 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(documents(spark, folder))
 
 
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE: dict[str, str] = {}
