@@ -183,6 +183,8 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: work before it isn't repeated, whatever executor is lost."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
+    # The driver's garbage keeps shuffle files of finished steps on the executors' disks; a small driver seldom collects.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

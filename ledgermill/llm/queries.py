@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgermill.llm.line_rules import line_quality
 from ledgermill.llm.near_copies import near_copies
 from ledgermill.llm.packing import pack
+from ledgermill.llm.substrings import cut_repeats
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_repeats(documents(spark, folder))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality(documents(spark, folder))
 
@@ -27,6 +32,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
