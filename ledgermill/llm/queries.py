@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgermill.llm import mixing
 from ledgermill.llm.line_rules import line_quality
 from ledgermill.llm.near_copies import near_copies
 from ledgermill.llm.packing import pack
@@ -15,6 +17,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op5_mixing_to_targets(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_documents(documents(spark, folder))
+    return mixed.select("doc_id", *mixing.DIMENSIONS, "n_tokens", F.round("mix_rate", 6).alias("mix_rate"), "sampled")
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut_repeats(documents(spark, folder))
 
@@ -32,9 +39,12 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_mixing_to_targets": op5_mixing_to_targets,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing_to_targets": mixing.oracle(),
+}
