@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm import mixing
+from ledgermill.llm.lattice import held_out_by_id, lattice_scores
 from ledgermill.llm.line_rules import line_quality
 from ledgermill.llm.near_copies import near_copies
 from ledgermill.llm.packing import pack
@@ -34,6 +35,11 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(documents(spark, folder))
 
 
+def op9_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs, vocabulary = documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model")
+    return lattice_scores(docs, held_out_by_id("doc_id", 7, 2), vocabulary)
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -43,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_lattice_scores": op9_lattice_scores,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE: dict[str, str] = {
