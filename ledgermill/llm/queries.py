@@ -10,6 +10,7 @@ from ledgermill.llm import mixing
 from ledgermill.llm.lattice import held_out_by_id, lattice_scores
 from ledgermill.llm.line_rules import line_quality
 from ledgermill.llm.near_copies import near_copies
+from ledgermill.llm.neighbours import neighbour_scores
 from ledgermill.llm.packing import pack
 from ledgermill.llm.substrings import cut_repeats
 
@@ -18,6 +19,22 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def labels_to_learn(spark: SparkSession, folder: str, label: str, parts: int, part: int) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(~held_out_by_id("doc_id", parts, part))
+    return labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
+
+
+def classified(scored: DataFrame, parts: int, part: int) -> DataFrame:
+    others = [c for c in scored.columns if c not in ("doc_id", "score")]
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out_by_id("doc_id", parts, part).alias("held_out"), "score", predicted, *others)
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = labels_to_learn(spark, folder, "toxic", 5, 0)
+    return classified(neighbour_scores(documents(spark, folder), labels), 5, 0)
+
+
 def op5_mixing_to_targets(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_documents(documents(spark, folder))
     return mixed.select("doc_id", *mixing.DIMENSIONS, "n_tokens", F.round("mix_rate", 6).alias("mix_rate"), "sampled")
@@ -45,6 +62,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op5_mixing_to_targets": op5_mixing_to_targets,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
