@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.sources.tables import shared_folder
@@ -188,31 +188,30 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def connected_components(spark: SparkSession, links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for all nodes of `links` (a, b: long); a component is named by its smallest node.
 
     Every round first links each node's larger neighbours to its smallest one, then each node's smaller neighbours to
-    the smallest of them, until no link changes; links then form stars around the smallest nodes. The number of rounds
-    grows with the logarithm of the number of nodes. A node's neighbours are never gathered: both steps are a minimum
-    per node, combined before its shuffle, joined back to the links.
+    the smallest of them, until all links are stars around the smallest nodes. The number of rounds grows with the
+    logarithm of the number of nodes. A node's neighbours are never gathered: both steps are a minimum per node,
+    combined before its shuffle, joined back to the links.
     """
-    links = saved(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links")
-    before = None
+    links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = saved(links, "links")
     while True:
+        # Stars: no node has two smaller neighbours, and none has both a smaller and a larger one.
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+            links.select("b", F.lit(0), F.lit(1))
+        )
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.where("up > 1 OR up = 1 AND down = 1").isEmpty():
+            break
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
-        # now b < a in every link
+        large = saved(large.distinct(), "links")
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(lowest, "a")
-        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
+        small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
         links = saved(small.unionAll(lowest.select("a", F.col("m").alias("b"))).distinct(), "links")
-        now = tuple(
-            links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")).first()
-        )
-        if now == before:
-            break
-        before = now
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionAll(stars.select(F.col("component").alias("node"), "component").distinct())

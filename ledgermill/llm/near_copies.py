@@ -13,7 +13,8 @@ Documents whose sets overlap by `percent` or more of their union are linked; lin
 A group of g near-copies shares its postings, and its g * g / 2 pairs are never formed. While lists hold many pairs of
 nodes from different components, each list is only compared with one of its nodes, and the confirmed links are merged
 into components; pairs within a component need no comparison. Then all pairs that remain between components are
-compared, so no link between components is lost.
+compared, so no link between components is lost. Pairs are not formed either where their set sizes, and the runs that
+only one of them has among all candidates, keep them below the threshold.
 
 Defined results: NULL and empty texts have empty sets and link with nothing. Rows that repeat a doc_id are one document
 with several texts, linked if any of them is. Rows without doc_id link with nothing, and are kept, with a NULL
@@ -25,7 +26,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm import common
@@ -143,9 +144,29 @@ def near_copies(
     )
     runs = common.saved(runs, "runs")
 
+    # Runs that no other candidate has bound what a node can share: at most size - own. A node whose own runs are too
+    # many links with nothing.
+    facts = runs.groupBy("node").agg(F.count(F.lit(1)).alias("texts"), F.max(F.size("runs")).alias("size"))
+    own = runs.select("node", F.explode("runs").alias("run")).groupBy("run")
+    own = own.agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    own = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    facts = facts.join(own, "node", "left")
+    single = F.col("texts") == 1  # several texts of one id: no bound
+    facts = facts.select(
+        "node",
+        F.when(single, F.col("size").cast("bigint")).otherwise(0).alias("size"),
+        F.when(single, F.col("size") - F.coalesce("own", F.lit(0))).otherwise(1 << 40).alias("common"),
+    ).where(f"100 * common >= {percent} * size")
+    posts = common.saved(posts.join(facts, "node"), "posts")
+
     def sided(df: DataFrame, side: str) -> DataFrame:
         return df.toDF(*[f"{name}_{side}" for name in df.columns])
 
+    def possible() -> Column:
+        """Whether two nodes can reach the threshold with what they can share."""
+        most = F.least("common_a", "common_b")
+        return 100 * most >= percent * (F.col("size_a") + F.col("size_b") - most)
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links (a, b) among pairs (node_a, k1_a, node_b, k1_b)."""
         for side in "ab":
@@ -158,42 +179,44 @@ def near_copies(
             pairs = pairs.join(sided(runs, side), f"node_{side}")
         both = F.size(F.array_intersect("runs_a", "runs_b"))
         either = F.size("runs_a") + F.size("runs_b") - both
-        return pairs.where(100 * both >= percent * either).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b")
-        ).distinct()
+        return pairs.where(100 * both >= percent * either).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
     links, parts = None, None
     for round_number in range(5):
-        if parts is None:
-            placed = posts.withColumn("part", F.col("node"))
-        else:
-            placed = posts.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-            placed = placed.drop("component")
-        ends = placed.groupBy("at", "value").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+        placed = posts.withColumn("part", F.col("node"))
+        if parts is not None:
+            known = parts.select(F.col("node").alias("known"), "component")
+            placed = posts.join(known, F.col("node") == F.col("known"), "left")
+            placed = placed.withColumn("part", F.coalesce("component", "node")).drop("known", "component")
+        # Leaves lists of a single part, and nodes too large for what they can share with the list's smallest.
+        ends = placed.groupBy("at", "value").agg(
+            F.min("part").alias("low"), F.max("part").alias("high"), F.min("size").alias("least")
+        )
         placed = placed.join(ends.where("low < high"), ["at", "value"])
-        placed = common.saved(placed, "placed")
+        placed = placed.where(f"100 * common >= {percent} * (size + least - least(common, least))")
+        placed = common.saved(placed.drop("low", "high", "least"), "placed")
         per_part = placed.groupBy("at", "value", "part").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        open_pairs = per_part.groupBy("at", "value").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner")
-        )
-        total = open_pairs.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
-        if not total[0]:
+        per_list = per_part.groupBy("at", "value").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"))
+        total = per_list.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
+        if not total[0] or not total[1]:
             break
         last = total[1] <= 4 * total[0] or round_number == 4
+        same = (F.col("at_a") == F.col("at_b")) & (F.col("value_a") == F.col("value_b"))
+        right = sided(placed, "b")
         if last:
-            left, right = sided(placed, "a"), sided(placed, "b")
-            same = (F.col("at_a") == F.col("at_b")) & (F.col("value_a") == F.col("value_b"))
-            pairs = left.join(right, same & (F.col("part_a") < F.col("part_b")))
+            pairs = sided(placed, "a").join(right, same & (F.col("part_a") < F.col("part_b")) & possible())
         else:
-            end = (F.min, F.max)[round_number % 2]
-            hubs = placed.groupBy("at", "value").agg(end(F.struct("part", "node", "k1")).alias("hub"))
-            hubs = hubs.select("at", "value", *[F.col(f"hub.{c}").alias(f"{c}_a") for c in ("part", "node", "k1")])
-            pairs = placed.select("at", "value", *[F.col(c).alias(f"{c}_b") for c in ("part", "node", "k1")])
-            pairs = pairs.join(hubs, ["at", "value"]).where("part_a != part_b")
+            # One node of each list, from its first or last part and the one with most to share, against the others.
+            part = (F.col("part"), -F.col("part"))[round_number % 2]
+            kept = [c for c in placed.columns if c not in ("at", "value")]
+            best = F.struct((-part).alias("rank"), "common", (-F.col("node")).alias("tie"), *kept)
+            hubs = placed.groupBy("at", "value").agg(F.max(best).alias("hub"))
+            hubs = sided(hubs.select("at", "value", *[F.col(f"hub.{c}").alias(c) for c in kept]), "a")
+            pairs = hubs.join(right, same & (F.col("part_a") != F.col("part_b")) & possible())
         pairs = pairs.select("node_a", "k1_a", "node_b", "k1_b").distinct()
         found = confirmed(pairs)
         links = common.saved(found if links is None else links.unionAll(found), "found")
-        parts = common.saved(common.connected_components(spark, links), "parts")
+        parts = common.saved(common.connected_components(links), "parts")
         if last:
             break
     if parts is None:
