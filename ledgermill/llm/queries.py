@@ -12,13 +12,20 @@ from ledgermill.llm.line_rules import line_quality
 from ledgermill.llm.near_copies import near_copies
 from ledgermill.llm.neighbours import neighbour_scores
 from ledgermill.llm.packing import pack
+from ledgermill.llm.pivots import near_vectors
 from ledgermill.llm.substrings import cut_repeats
+from ledgermill.llm.url_rules import SPAM_PATTERNS, judge_urls, prefix_rule
+from ledgermill.llm.url_rules import oracle as url_oracle
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def labels_to_learn(spark: SparkSession, folder: str, label: str, parts: int, part: int) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(~held_out_by_id("doc_id", parts, part))
     return labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
@@ -35,6 +42,21 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return classified(neighbour_scores(documents(spark, folder), labels), 5, 0)
 
 
+#: Rules of the query over pages.
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = [prefix_rule(*rule) for rule in URL_RULES]
+    return judge_urls(spark.read.parquet(f"{folder}/pages.parquet"), [*rules, *SPAM_PATTERNS])
+
+
 def op5_mixing_to_targets(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_documents(documents(spark, folder))
     return mixed.select("doc_id", *mixing.DIMENSIONS, "n_tokens", F.round("mix_rate", 6).alias("mix_rate"), "sampled")
@@ -62,7 +84,9 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_url_filters": op3_url_filters,
     "op5_mixing_to_targets": op5_mixing_to_targets,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
@@ -71,5 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE: dict[str, str] = {
+    "op3_url_filters": url_oracle(URL_RULES),
     "op5_mixing_to_targets": mixing.oracle(),
 }
