@@ -160,6 +160,48 @@ def sorted_within(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def between(mask: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(mask) + 1, dtype=np.int64)
+    np.cumsum(mask, out=sums[1:])
+    return sums[high] - sums[low]
+
+
+def repeat_words(hashes: np.ndarray, n: int) -> int:
+    """Words in n-word windows that occur at least twice."""
+    grams = gram_hashes(hashes, n)
+    if len(grams) < 2:
+        return 0
+    order = np.argsort(grams, kind="stable")
+    same = grams[order[1:]] == grams[order[:-1]]
+    if not same.any():
+        return 0
+    at = np.unique(np.concatenate([order[1:][same], order[:-1][same]]))
+    change = np.zeros(len(hashes) + 1, dtype=np.int32)
+    np.add.at(change, at, 1)
+    np.add.at(change, at + n, -1)
+    return int((np.cumsum(change) > 0).sum())
+
+
+_FOLLOWS = np.zeros(256, dtype=bool)
+_FOLLOWS[0x80:0xC0] = True  # bytes of a character after its first
+
+
+def inked(data: np.ndarray) -> np.ndarray:
+    """Marks the first byte of each character that is part of a word."""
+    return ~_SPACE[data] & ~_FOLLOWS[data]
+
+
+def lines_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the lines (cut at \\n) of texts with any bytes, and the text of each."""
+    data, bounds = texts
+    starts = np.unique(np.concatenate([bounds[:-1], np.flatnonzero(data == 10) + 1]))
+    starts = starts[starts < len(data)]
+    ends = np.append(starts[1:], len(data))[: len(starts)]
+    if len(ends):
+        ends = np.where((ends > starts) & (data[np.maximum(ends - 1, 0)] == 10), ends - 1, ends)
+    return starts, ends, np.searchsorted(bounds, starts, side="right") - 1
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 

@@ -49,30 +49,6 @@ _BAR = np.zeros(256, dtype=bool)
 _BAR[list(b"|>")] = True
 _CLOSING = np.zeros(256, dtype=bool)
 _CLOSING[list(b".!?\"':;,)]")] = True
-_FOLLOWS = np.zeros(256, dtype=bool)
-_FOLLOWS[0x80:0xC0] = True  # bytes of a character after its first
-
-
-def _between(mask: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(mask) + 1, dtype=np.int64)
-    np.cumsum(mask, out=sums[1:])
-    return sums[high] - sums[low]
-
-
-def _repeat_words(hashes: np.ndarray, n: int) -> int:
-    """Words in n-word windows that occur at least twice."""
-    grams = common.gram_hashes(hashes, n)
-    if len(grams) < 2:
-        return 0
-    order = np.argsort(grams, kind="stable")
-    same = grams[order[1:]] == grams[order[:-1]]
-    if not same.any():
-        return 0
-    at = np.unique(np.concatenate([order[1:][same], order[:-1][same]]))
-    change = np.zeros(len(hashes) + 1, dtype=np.int32)
-    np.add.at(change, at, 1)
-    np.add.at(change, at + n, -1)
-    return int((np.cumsum(change) > 0).sum())
 
 
 def _judge(
@@ -88,28 +64,21 @@ def _judge(
         words = common.words_of(texts)
         hashes = common.span_hashes(data, words.starts, words.ends)
         n_words = np.diff(words.first)
-        n_symbols = _between(_SYMBOL[data], bounds[:-1], bounds[1:])
-        letters = ~common._SPACE[data] & ~_FOLLOWS[data]
-        word_chars = _between(letters, bounds[:-1], bounds[1:])
-        # Lines: cut at \n and at the ends of texts.
-        breaks = np.flatnonzero(data == 10)
-        starts = np.unique(np.concatenate([bounds[:-1], breaks + 1]))
-        starts = starts[starts < len(data)]
-        ends = np.append(starts[1:], len(data))
-        if len(ends):
-            ends = np.where((ends > starts) & (data[np.maximum(ends - 1, 0)] == 10), ends - 1, ends)
-        owner = np.searchsorted(bounds, starts, side="right") - 1
+        n_symbols = common.between(_SYMBOL[data], bounds[:-1], bounds[1:])
+        letters = common.inked(data)
+        word_chars = common.between(letters, bounds[:-1], bounds[1:])
+        starts, ends, owner = common.lines_of(texts)
         line_words = np.searchsorted(words.starts, ends) - np.searchsorted(words.starts, starts)
         line_hash = common.span_hashes(data, starts, ends)
         filled = line_words > 0
-        symbols = _between(_SYMBOL[data], starts, ends)
-        inked = _between(letters, starts, ends)
-        capitals = _between((data >= 65) & (data <= 90), starts, ends)
-        smalls = _between((data >= 97) & (data <= 122), starts, ends)
-        bars = _between(_BAR[data], starts, ends)
+        symbols = common.between(_SYMBOL[data], starts, ends)
+        inked = common.between(letters, starts, ends)
+        capitals = common.between((data >= 65) & (data <= 90), starts, ends)
+        smalls = common.between((data >= 97) & (data <= 122), starts, ends)
+        bars = common.between(_BAR[data], starts, ends)
         echo = np.zeros(len(hashes), dtype=bool)
         echo[1:] = hashes[1:] == hashes[:-1]
-        echoes = _between(echo, np.searchsorted(words.starts, starts), np.searchsorted(words.starts, ends))
+        echoes = common.between(echo, np.searchsorted(words.starts, starts), np.searchsorted(words.starts, ends))
         last = words.ends[np.maximum(np.searchsorted(words.starts, ends) - 1, 0)] - 1 if len(words.ends) else starts
         closed = _CLOSING[data[last]] if len(data) else np.zeros(0, dtype=bool)
         failed = filled & (
@@ -133,7 +102,7 @@ def _judge(
             lines = slice(line_first[i], line_first[i + 1])
             own = line_hash[lines][filled[lines]]
             n_dup.append(len(own) - len(np.unique(own)) if len(own) > 1 else 0)
-            n_repeat.append(_repeat_words(hashes[words.first[i] : words.first[i + 1]], 8))
+            n_repeat.append(common.repeat_words(hashes[words.first[i] : words.first[i + 1]], 8))
             if with_text:
                 if not failed[lines].any():
                     cleaned.append(texts.text(i))

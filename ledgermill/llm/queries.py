@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm import mixing
+from ledgermill.llm.additive import additive_scores
 from ledgermill.llm.lattice import held_out_by_id, lattice_scores
 from ledgermill.llm.line_rules import line_quality
 from ledgermill.llm.near_copies import near_copies
@@ -57,6 +58,11 @@ def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{folder}/pages.parquet"), [*rules, *SPAM_PATTERNS])
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    labels = labels_to_learn(spark, folder, "quality", 3, 1)
+    return classified(additive_scores(documents(spark, folder), labels), 3, 1)
+
+
 def op5_mixing_to_targets(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_documents(documents(spark, folder))
     return mixed.select("doc_id", *mixing.DIMENSIONS, "n_tokens", F.round("mix_rate", 6).alias("mix_rate"), "sampled")
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_url_filters": op3_url_filters,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_mixing_to_targets": op5_mixing_to_targets,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
