@@ -209,7 +209,7 @@ def near_copies(
             # One node of each list, from its first or last part and the one with most to share, against the others.
             part = (F.col("part"), -F.col("part"))[round_number % 2]
             kept = [c for c in placed.columns if c not in ("at", "value")]
-            best = F.struct((-part).alias("rank"), "common", (-F.col("node")).alias("tie"), *kept)
+            best = F.struct((-part).alias("rank"), F.col("common").alias("most"), (-F.col("node")).alias("tie"), *kept)
             hubs = placed.groupBy("at", "value").agg(F.max(best).alias("hub"))
             hubs = sided(hubs.select("at", "value", *[F.col(f"hub.{c}").alias(c) for c in kept]), "a")
             pairs = hubs.join(right, same & (F.col("part_a") != F.col("part_b")) & possible())
