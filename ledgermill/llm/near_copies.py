@@ -16,9 +16,9 @@ into components; pairs within a component need no comparison. Then all pairs tha
 compared, so no link between components is lost. Pairs are not formed either where their set sizes, and the runs that
 only one of them has among all candidates, keep them below the threshold.
 
-Defined results: NULL and empty texts have empty sets and link with nothing. Rows that repeat a doc_id are one document
-with several texts, linked if any of them is. Rows without doc_id link with nothing, and are kept, with a NULL
-component. Other columns are not read.
+Defined results: NULL and empty texts have empty sets and link with nothing. Rows that repeat a doc_id are judged each by
+their own text; sets of which an id is the smallest count as one node. Rows without doc_id link with nothing, and are
+kept, with a NULL component. Other columns are not read.
 """
 
 from collections.abc import Iterator
