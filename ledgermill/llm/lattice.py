@@ -8,8 +8,8 @@ and of the end. Pieces do not cross words, so every distinct word is scored once
 
 The base score is an add-one unigram over words: sum of log10((c + 1) / (N + V + 1)), with one end token per text.
 
-Word counts are summed per task before their shuffle. Texts look up the `head_words` most frequent words in a table of
-bounded size sent to all tasks; all other words of a text go through a join with the full table of words. Nothing is
+Word counts are summed per task before their shuffle. Texts look up at most `head_words` most frequent words in a table
+of bounded size sent to all tasks; all other words of a text go through a join with the full table of words. Nothing is
 dropped: the bound only decides which way a word takes.
 
 Defined results: NULL and empty texts are one end token. Rows without id are learnt from and scored with a NULL id. Rows
@@ -145,7 +145,7 @@ def _score_words(batches: Iterator[pa.RecordBatch], lattice) -> Iterator[pa.Reco
 
 
 def _look_up(batches: Iterator[pa.RecordBatch], head) -> Iterator[pa.RecordBatch]:
-    get = head.value.get
+    get = head.value.table().get
     for batch, texts in common.row_blocks(batches):
         texts = texts.lower()
         n_words, known, base, score, tails = [], [], [], [], []
@@ -177,6 +177,39 @@ def _look_up(batches: Iterator[pa.RecordBatch], head) -> Iterator[pa.RecordBatch
         )
 
 
+class Head:
+    """The most frequent words with their values, sent packed and unpacked once in each worker."""
+
+    def __init__(self, words: pa.Table):
+        self.words = words.combine_chunks()
+        self.known: dict[bytes, tuple[int, float, float]] | None = None
+
+    def __getstate__(self):
+        return {"words": self.words, "known": None}
+
+    def table(self) -> dict[bytes, tuple[int, float, float]]:
+        if self.known is None:
+            columns = [self.words.column(name).to_pylist() for name in ("known", "base", "score")]
+            keys = self.words.column("word").cast(pa.binary()).to_pylist()
+            self.known = dict(zip(keys, zip(*columns, strict=True), strict=True))
+        return self.known
+
+
+def _head(scored: DataFrame, most: int) -> Head:
+    """At most `most` words of at most 40 characters: those above a frequency at which they are few enough. The
+    frequency is found from counts per eighth of a power of two, so that nothing is sorted or sent beyond the bound."""
+    short = scored.where("length(word) <= 40")
+    step = F.floor(8 * F.log2("total"))
+    sizes = {row["s"]: row["n"] for row in short.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, held = max(sizes, default=0) + 1, 0
+    for size in sorted(sizes, reverse=True):
+        held += sizes[size]
+        if held > most:
+            break
+        least = size
+    return Head(short.where(step >= least).select("word", "known", "base", "score").toArrow())
+
+
 def held_out_by_id(id_column: str, parts: int, part: int) -> Column:
     """Whether an id's crc32 leaves the remainder `part`; NULL ids are not held out."""
     return F.coalesce(F.crc32(F.col(f"`{id_column}`").cast("string")) % parts == part, F.lit(False))
@@ -188,7 +221,7 @@ def lattice_scores(
     vocabulary_path: str,
     id_column: str = "doc_id",
     text: str = "text",
-    head_words: int = 1 << 18,
+    head_words: int = 1 << 17,
     prior: float = 1000.0,
 ) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
@@ -231,9 +264,7 @@ def lattice_scores(
         (F.col("lattice") + F.lit(further)).alias("score"),
     )
     scored = common.saved(scored, "scored")
-    head = scored.where(F.length("word") <= 40).orderBy(F.desc("total"), "word").limit(head_words)
-    head = {row["word"].encode(): (row["known"], row["base"], row["score"]) for row in head.collect()}
-    table = context.broadcast(head)  # at most head_words words of at most 40 characters
+    table = context.broadcast(_head(scored, head_words))
 
     found = common.map_arrow(
         source.select(F.monotonically_increasing_id().alias("row"), "*"),
