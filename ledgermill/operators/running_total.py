@@ -1,39 +1,47 @@
 """Running totals that stay parallel when one group holds most of the rows.
 
 A plain window puts each group into one task. That is right for groups of ordinary size, and it is what they
-get here. A hot group is cut into chunks along its own order:
+get here. A hot group is cut along its own order into chunks of about `chunk_rows` rows:
 
-    day  ->  block of 2**KEY_BITS consecutive keys  ->  (only where keys repeat) key, file, stretch of rows
+    day  ->  stretch of keys  ->  finer stretch of keys  ->  (only for one repeated key) stretch of handle hashes
+
+A day with more rows is cut into stretches of equal width between its smallest and largest key, as many as its
+row count asks for; a stretch that still has too many rows, where keys lie unevenly, is cut once more between
+its own ends; and copies of one key are cut by a hash of their row handle. So the number of chunks follows the
+number of rows, whether keys are dense, sparse or repeated.
 
 The window runs per chunk, and every chunk adds the total of the chunks before it. These offsets come from
-an aggregate that combines before its shuffle, and are again summed in two levels, days and chunks of a day,
-so the largest window partition holds
-  - for rows: 2**KEY_BITS keys of one group and day,
-  - for chunks of a day: key range / 2**KEY_BITS entries,
-  - for days: as many entries as the calendar has days.
+an aggregate that combines before its shuffle, and are again summed in two levels, days and chunks of a day.
 Ordinary and hot groups share one shuffle of the wide rows; the offsets are joined on that same partitioning.
+
+The lists of hot groups, cut days and cut stretches are broadcast. Each entry stands for more rows than its
+limit, and the limits grow with the table, so that no list has more than MOST_ENTRIES entries. The limits
+only choose a plan, never a result.
 """
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A group with more rows is hot. N rows have at most N / HOT_GROUP_ROWS hot groups (10^12 rows: 500,000), so
-# the broadcast list of hot groups stays at a few MB whatever the data.
+# A group with more rows is hot.
 HOT_GROUP_ROWS = 2_000_000
-# Keys per chunk of a hot group, as a power of two.
-KEY_BITS = 20
+# Rows a chunk of a hot group is meant to hold.
+CHUNK_ROWS = 1_000_000
+# Entries of a broadcast list, whatever the number of rows: a few MB.
+MOST_ENTRIES = 50_000
 # Stands for the group of rows without a group id. Parsed ids are never negative.
 NO_GROUP = -1
 
+DAY, STRETCH, FINER, COPIES = "_day", "_stretch", "_finer", "_copies"
+
 
 @dataclass(frozen=True)
 class RunningTotal:
     """Running sum of `value` per `group`, by `day` and then `key`.
 
-    `day` and `key` are not NULL. `hot_rows=0` treats every group as hot, without counting first: for columns known to have few, large
+    `day` and `key` are not NULL. `hot_rows=0` treats every group as hot: for columns known to have few, large
     groups. `handle` names columns that identify a row; give it where `key` may repeat, so that even the
     copies of one key are spread and get their totals in a fixed order.
     """
@@ -44,95 +52,122 @@ class RunningTotal:
     day: str = "transaction_date"
     key: str = "transaction_id"
     hot_rows: int = HOT_GROUP_ROWS
-    key_bits: int = KEY_BITS
+    chunk_rows: int = CHUNK_ROWS
     handle: tuple[str, str] | None = None
+    most_entries: int = MOST_ENTRIES
 
     @property
     def chunk(self) -> list[str]:
-        columns = ["_slot", "_day", "_block"]
-        return columns + ["_key", "_file", "_stretch"] if self.handle else columns
-
-
-def _mark_hot(rows: DataFrame, source: DataFrame, spec: RunningTotal) -> DataFrame:
-    slotted = rows.withColumn("_slot", F.coalesce(F.col(spec.group), F.lit(NO_GROUP)))
-    if spec.hot_rows == 0:
-        return slotted.withColumn("_hot", F.lit(True))
-    hot = (
-        source.groupBy(F.coalesce(F.col(spec.group), F.lit(NO_GROUP)).alias("_slot"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > spec.hot_rows)
-        .select("_slot", F.lit(True).alias("_hot"))
-    )
-    return slotted.join(F.broadcast(hot), "_slot", "left")
-
-
-def _mark_chunks(rows: DataFrame, source: DataFrame, spec: RunningTotal) -> DataFrame:
-    def to_blocks(df: DataFrame) -> DataFrame:
-        # NULL day and block for an ordinary group: the whole group is one chunk, and it has no offset.
-        return _mark_hot(df, source, spec).withColumns(
-            {
-                "_day": F.when(F.col("_hot"), F.col(spec.day)),
-                "_block": F.when(F.col("_hot"), F.shiftright(F.col(spec.key), spec.key_bits)),
-            }
-        )
-
-    blocks = to_blocks(rows)
-    if not spec.handle:
-        return blocks
-    # Blocks with more rows than keys hold repeated keys. At most N / 2**key_bits of them: bounded broadcast.
-    crowded = (
-        to_blocks(source)
-        .where("_hot")
-        .groupBy("_slot", "_day", "_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > 2**spec.key_bits)
-        .select("_slot", "_day", "_block", F.lit(True).alias("_crowded"))
-    )
-    file, position = spec.handle
-    return blocks.join(F.broadcast(crowded), ["_slot", "_day", "_block"], "left").withColumns(
-        {
-            "_key": F.when(F.col("_crowded"), F.col(spec.key)).otherwise(-1),
-            "_file": F.when(F.col("_crowded"), F.col(file)).otherwise(""),
-            "_stretch": F.when(F.col("_crowded"), F.shiftright(F.col(position), spec.key_bits)).otherwise(-1),
-        }
-    )
-
-
-def _offsets(source: DataFrame, spec: RunningTotal) -> DataFrame:
+        return ["_slot", DAY, STRETCH, FINER, *([COPIES] if self.handle else [])]
+
+    def limits(self, rows: int) -> tuple[int, int]:
+        """Rows above which a group is hot, and above which a part of it is cut."""
+        least = -(-rows // self.most_entries)
+        return max(self.hot_rows, least) if self.hot_rows else 0, max(self.chunk_rows, least)
+
+
+class Chunks:
+    """Marks rows with the chunk they belong to. The lists that decide it are made from `source` once."""
+
+    def __init__(self, source: DataFrame, spec: RunningTotal):
+        self.spec = spec
+        self.hot_rows, self.chunk_rows = spec.limits(source.count())
+        self.hot = None
+        narrow = source.select(*self._needed(source))
+        if self.hot_rows:
+            sizes = narrow.groupBy(self._slot().alias("_slot")).agg(F.count(F.lit(1)).alias("_rows"))
+            self.hot = sizes.where(F.col("_rows") > self.hot_rows).select("_slot", F.lit(True).alias("_hot"))
+        self.lists: list[DataFrame] = []
+        levels = [(STRETCH, F.col(spec.key), F.lit(True)), (FINER, F.col(spec.key), F.col("_low") < F.col("_high"))]
+        if spec.handle:
+            levels.append((COPIES, self._copy_hash(), F.col("_one_key")))
+        for level, place, useful in levels:
+            on = ["_slot", DAY, *self._names()]
+            parts = self.mark(narrow).where("_hot").groupBy(*on).agg(
+                F.count(F.lit(1)).alias("_rows"),
+                F.min(place).alias("_low"),
+                F.max(place).alias("_high"),
+                (F.min(spec.key) == F.max(spec.key)).alias("_one_key"),
+            )
+            # Half as many rows again as needed, so that chance does not push many stretches over the limit.
+            cuts = F.ceil(F.col("_rows") * 1.5 / self.chunk_rows)
+            # Both ends are halved first: their distance may not fit into 64 bits.
+            width = (F.expr("_high div 2") - F.expr("_low div 2")) / cuts
+            parts = parts.where((F.col("_rows") > self.chunk_rows) & useful)
+            self.lists.append(parts.select(*on, F.col("_low").alias(f"{level}_low"), width.alias(f"{level}_width")))
+
+    def _needed(self, source: DataFrame) -> list[str]:
+        spec = self.spec
+        return list(dict.fromkeys([spec.group, spec.day, spec.key, *(spec.handle or ())]))
+
+    def _slot(self) -> Column:
+        return F.coalesce(F.col(self.spec.group), F.lit(NO_GROUP))
+
+    def _copy_hash(self) -> Column:
+        return F.xxhash64(*self.spec.handle)
+
+    def _names(self) -> list[str]:
+        return [STRETCH, FINER, COPIES][: len(self.lists)]
+
+    def mark(self, rows: DataFrame) -> DataFrame:
+        """Adds the chunk columns. An ordinary group is one chunk with a NULL day, and has no offset."""
+        spec = self.spec
+        rows = rows.withColumn("_slot", self._slot())
+        if self.hot is None:
+            rows = rows.withColumn("_hot", F.lit(True))
+        else:
+            rows = rows.join(F.broadcast(self.hot), "_slot", "left")
+        rows = rows.withColumn(DAY, F.when(F.col("_hot"), F.col(spec.day)))
+        for number, cuts in enumerate(self.lists):
+            level = [STRETCH, FINER, COPIES][number]
+            place = self._copy_hash() if level == COPIES else F.col(spec.key)
+            low, width = F.col(f"{level}_low"), F.col(f"{level}_width")
+            half = place.cast("bigint") / 2 - low / 2
+            found = F.when(width > 0, F.floor(half / width)).otherwise(0).cast("bigint")
+            on = ["_slot", DAY, *[STRETCH, FINER, COPIES][:number]]
+            rows = rows.join(F.broadcast(cuts), on, "left").withColumn(level, F.coalesce(found, F.lit(0)))
+            rows = rows.drop(f"{level}_low", f"{level}_width")
+        return rows
+
+
+def _offsets(source: DataFrame, chunks: Chunks) -> DataFrame:
     """Total of everything before each chunk of the hot groups."""
-    before = (W.unboundedPreceding, -1)
-    # The NULL tests are stated, or the optimizer adds them to one of the two uses of `chunks` only, and the
+    spec, before = chunks.spec, (W.unboundedPreceding, -1)
+    # The NULL tests are stated, or the optimizer adds them to one of the two uses of `totals` only, and the
     # shuffle below them is no longer shared.
-    chunks = (
-        _mark_chunks(source, source, spec)
-        .where("_hot AND _day IS NOT NULL AND _block IS NOT NULL")
+    totals = (
+        chunks.mark(source)
+        .where(f"_hot AND {DAY} IS NOT NULL")
         .groupBy(*spec.chunk)
         .agg(F.sum(spec.value).alias("_total"))
     )
-    in_day = W.partitionBy("_slot", "_day").orderBy(*spec.chunk[2:]).rowsBetween(*before)
-    across_days = W.partitionBy("_slot").orderBy("_day").rowsBetween(*before)
+    in_day = W.partitionBy("_slot", DAY).orderBy(*spec.chunk[2:]).rowsBetween(*before)
+    across_days = W.partitionBy("_slot").orderBy(DAY).rowsBetween(*before)
     days = (
-        chunks.groupBy("_slot", "_day")
+        totals.groupBy("_slot", DAY)
         .agg(F.sum("_total").alias("_day_total"))
-        .select("_slot", "_day", F.sum("_day_total").over(across_days).alias("_earlier_days"))
+        .select("_slot", DAY, F.sum("_day_total").over(across_days).alias("_earlier_days"))
     )
     earlier, same_day = F.col("_earlier_days"), F.col("_earlier_chunks")
     return (
-        chunks.select(*spec.chunk, F.sum("_total").over(in_day).alias("_earlier_chunks"))
-        .join(days, ["_slot", "_day"])
+        totals.select(*spec.chunk, F.sum("_total").over(in_day).alias("_earlier_chunks"))
+        .join(days, ["_slot", DAY])
         .select(*spec.chunk, F.coalesce(earlier + same_day, earlier, same_day).alias("_before"))
     )
 
 
 def with_running_total(rows: DataFrame, spec: RunningTotal, source: DataFrame | None = None) -> DataFrame:
-    """`source` supplies the group sizes and chunk totals: the same rows at an earlier, cheaper stage."""
+    """`source` supplies the group sizes and chunk totals: the same rows at an earlier, cheaper stage. It is
+    counted first, to scale the limits."""
     source = rows if source is None else source
+    chunks = Chunks(source, spec)
+    copies = [F.xxhash64(*spec.handle), *spec.handle] if spec.handle else []
     window = (
         W.partitionBy(*spec.chunk)
-        .orderBy(spec.day, spec.key, *(spec.handle or ()))
+        .orderBy(spec.day, spec.key, *copies)
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     within, before = F.col("_within"), F.col("_before")
-    summed = _mark_chunks(rows, source, spec).withColumn("_within", F.sum(spec.value).over(window))
+    summed = chunks.mark(rows).withColumn("_within", F.sum(spec.value).over(window))
     total = F.coalesce(before + within, within, before).cast(summed.schema["_within"].dataType)
-    return summed.join(_offsets(source, spec), spec.chunk, "left").select(*rows.columns, total.alias(spec.name))
+    return summed.join(_offsets(source, chunks), spec.chunk, "left").select(*rows.columns, total.alias(spec.name))

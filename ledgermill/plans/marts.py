@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions import buckets
 from ledgermill.functions.buckets import precise_average
 from ledgermill.functions.calendar import date_parts, days_since
-from ledgermill.operators.running_total import HOT_GROUP_ROWS, KEY_BITS, RunningTotal, with_running_total
+from ledgermill.operators.running_total import CHUNK_ROWS, HOT_GROUP_ROWS, RunningTotal, with_running_total
 from ledgermill.sources.tables import ROW_HANDLE, gathered
 
 
@@ -39,17 +39,17 @@ def fact_rows(stg: DataFrame) -> DataFrame:
     return stg.where(F.col("transaction_id").isNotNull()).select(*_fact_columns())
 
 
-def customer_spend(hot_rows: int = HOT_GROUP_ROWS, key_bits: int = KEY_BITS) -> RunningTotal:
+def customer_spend(hot_rows: int = HOT_GROUP_ROWS, chunk_rows: int = CHUNK_ROWS) -> RunningTotal:
     """Many customers, most of them small: only hot ones are cut."""
     return RunningTotal(
-        "customer_cumulative_spend", "customer_id", "total_amount", hot_rows=hot_rows, key_bits=key_bits
+        "customer_cumulative_spend", "customer_id", "total_amount", hot_rows=hot_rows, chunk_rows=chunk_rows
     )
 
 
-def product_quantity(hot_rows: int = 0, key_bits: int = KEY_BITS) -> RunningTotal:
+def product_quantity(hot_rows: int = 0, chunk_rows: int = CHUNK_ROWS) -> RunningTotal:
     """A handful of products share all rows: every one is cut."""
     return RunningTotal(
-        "product_cumulative_quantity", "product_id", "quantity", hot_rows=hot_rows, key_bits=key_bits
+        "product_cumulative_quantity", "product_id", "quantity", hot_rows=hot_rows, chunk_rows=chunk_rows
     )
 
 
@@ -99,7 +99,8 @@ def dim_customer(stg: DataFrame, as_of: dt.date | None = None, unique_ids: bool
         profile = profile.withColumnRenamed("rows", "total_transactions")
     else:
         ids = stg.groupBy("customer_id").agg(F.count_distinct("transaction_id").alias("total_transactions"))
-        profile = profile.join(ids, "customer_id")
+        ids = ids.withColumnRenamed("customer_id", "counted_id")
+        profile = profile.join(ids, F.col("customer_id").eqNullSafe(F.col("counted_id"))).drop("counted_id")
     idle = days_since(F.col("last_transaction_date"), as_of)
     return profile.select(
         "customer_id",

@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.operators.running_total import RunningTotal, with_running_total
+from ledgermill.operators.running_total import Chunks, RunningTotal, with_running_total
 from ledgermill.plans import marts
 from ledgermill.sources.tables import ROW_HANDLE, overwrite, read_table, with_row_handle
 from tests.helpers import stg_frame, stg_row
@@ -42,10 +42,10 @@ def expected(rows: list[tuple]) -> dict[int, Decimal | None]:
     return totals
 
 
-@pytest.mark.parametrize("hot_rows, key_bits", [(10**9, 20), (0, 20), (0, 6), (100, 6), (100, 0), (25, 10)])
-def test_every_split_gives_the_same_totals(spark, hot_rows, key_bits):
-    rows = skewed_rows(seed=hot_rows + key_bits)
-    spec = RunningTotal("total", "grp", "amount", "day", "id", hot_rows=hot_rows, key_bits=key_bits)
+@pytest.mark.parametrize("hot_rows, chunk_rows", [(10**9, 10**6), (0, 10**6), (0, 64), (100, 64), (100, 1), (25, 200)])
+def test_every_split_gives_the_same_totals(spark, hot_rows, chunk_rows):
+    rows = skewed_rows(seed=hot_rows + chunk_rows)
+    spec = RunningTotal("total", "grp", "amount", "day", "id", hot_rows=hot_rows, chunk_rows=chunk_rows)
     got = with_running_total(spark.createDataFrame(rows, SCHEMA).repartition(5), spec)
     assert {row.id: row.total for row in got.collect()} == expected(rows)
     assert got.schema["total"].dataType.simpleString() == "decimal(20,2)"
@@ -55,7 +55,7 @@ def test_every_split_gives_the_same_totals(spark, hot_rows, key_bits):
 def test_last_total_of_a_group_is_its_sum(spark):
     rows = [row for row in skewed_rows(seed=3) if row[3] is not None]
     df = spark.createDataFrame(rows, SCHEMA)
-    spec = RunningTotal("total", "grp", "amount", "day", "id", hot_rows=50, key_bits=5)
+    spec = RunningTotal("total", "grp", "amount", "day", "id", hot_rows=50, chunk_rows=32)
     last = with_running_total(df, spec).groupBy("grp").agg(F.max("total").alias("last"))
     sums = df.groupBy("grp").agg(F.sum("amount").alias("last"))
     assert sorted(map(str, last.collect())) == sorted(map(str, sums.collect()))
@@ -73,8 +73,8 @@ def test_copies_of_one_key_are_spread_and_counted_once_each(spark, tmp_path):
     path = str(tmp_path / "rows")
     overwrite(stg_frame(spark, *rows).repartition(3), path)
     stored = with_row_handle(read_table(spark, path))
-    quantity = marts.product_quantity(hot_rows=0, key_bits=3)
-    fact = marts.fact_transactions(stored, marts.customer_spend(hot_rows=10, key_bits=3), quantity)
+    quantity = marts.product_quantity(hot_rows=0, chunk_rows=8)
+    fact = marts.fact_transactions(stored, marts.customer_spend(hot_rows=10, chunk_rows=8), quantity)
     assert not set(ROW_HANDLE) & set(fact.columns)
     got = fact.collect()
     assert len(got) == 100
@@ -89,3 +89,42 @@ def test_copies_of_one_key_are_spread_and_counted_once_each(spark, tmp_path):
     assert max(row.customer_cumulative_spend for row in got) == sum(row.total_amount for row in got)
     again = {(r.transaction_id, r.quantity, r.product_cumulative_quantity) for r in fact.collect()}
     assert again == {(r.transaction_id, r.quantity, r.product_cumulative_quantity) for r in got}
+
+
+@pytest.mark.parametrize("ids", ["dense", "sparse", "repeated", "clustered", "one"])
+def test_chunks_follow_the_rows_whatever_the_ids(spark, ids):
+    """One product and three days: about rows / chunk size chunks, none much above the chunk size."""
+    keys = {
+        "dense": F.col("n"),
+        "sparse": F.abs(F.xxhash64("n")),
+        "repeated": F.expr("n div 2"),
+        "clustered": F.when(F.col("n") % 2 == 0, F.col("n")).otherwise((1 << 62) + F.col("n")),
+        "one": F.lit(7).cast("bigint"),
+    }
+    rows = spark.range(60_000).select(F.col("id").alias("n")).select(
+        keys[ids].alias("id"),
+        F.lit(1).alias("grp"),
+        F.date_add(F.lit(dt.date(2023, 7, 1)), (F.col("n") % 3).cast("int")).alias("day"),
+        F.lit(Decimal("1.00")).alias("amount"),
+        F.lit("file").alias("file"),
+        F.col("n").alias("position"),
+    )
+    spec = RunningTotal("total", "grp", "amount", "day", "id", hot_rows=0, chunk_rows=500, handle=("file", "position"))
+    sizes = [row["count"] for row in Chunks(rows, spec).mark(rows).groupBy(*spec.chunk).count().collect()]
+    assert sum(sizes) == 60_000
+    assert len(sizes) <= 3 * 60_000 / 500 + 3
+    assert max(sizes) <= 600
+    totals = with_running_total(rows, spec).agg(F.max("total"), F.count_distinct("total")).first()
+    assert tuple(totals) == (Decimal("60000.00"), 60_000)
+
+
+def test_lists_stay_within_their_bound(spark):
+    """The limits grow with the table, so the number of entries does not."""
+    spec = RunningTotal("total", "grp", "amount", "day", "id", hot_rows=1, chunk_rows=1, most_entries=10)
+    assert spec.limits(1000) == (100, 100)
+    assert RunningTotal("t", "g", "v").limits(10**12) == (20_000_000, 20_000_000)
+    rows = spark.createDataFrame(skewed_rows(seed=9), SCHEMA)
+    chunks = Chunks(rows, spec)
+    assert all(part.count() <= 10 for part in [chunks.hot, *chunks.lists])
+    got = with_running_total(rows, spec)
+    assert {row.id: row.total for row in got.collect()} == expected(skewed_rows(seed=9))
