@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from ledgermill.plans.run import run
 from ledgermill.plans.staging import ID_TYPE
+from ledgermill.sources.raw_csv import FAIL, QUARANTINE
 
 
 def main() -> None:
@@ -17,6 +18,14 @@ def main() -> None:
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="reporting day; default: today")
     parser.add_argument("--id-type", choices=("bigint", "int"), default=ID_TYPE)
     parser.add_argument("--keep-going", action="store_true", help="go on when table tests fail")
+    parser.add_argument("--multi-line", action="store_true", help="values may hold line breaks inside quotes")
+    parser.add_argument(
+        "--on-malformed", choices=(FAIL, QUARANTINE), default=FAIL, help="lines with surplus fields or broken quotes"
+    )
+    parser.add_argument("--catalog", action="store_true", help="register the tables under their layer names")
+    parser.add_argument(
+        "--fresh-within", type=int, nargs=2, metavar=("WARN", "ERROR"), help="hours a load may be old"
+    )
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
@@ -26,7 +35,19 @@ def main() -> None:
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )
-    result = run(spark, args.csv, args.root, args.as_of, args.id_type, fail_on_tests=not args.keep_going)
+    result = run(
+        spark,
+        args.csv,
+        args.root,
+        args.as_of,
+        args.id_type,
+        fail_on_tests=not args.keep_going,
+        multi_line=args.multi_line,
+        on_malformed=args.on_malformed,
+        catalog=args.catalog,
+        fresh_within_hours=tuple(args.fresh_within) if args.fresh_within else None,
+    )
+    print(f"lines set aside: {result.loaded.lines_rejected}")
     for name, value in result.summary.asDict().items():
         print(f"{name}: {value}")
 

@@ -1,14 +1,14 @@
 """Declared table tests, named checks, freshness and the flag summary."""
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.operators.keys import repeated_keys, rows_without_parent
+from ledgermill.operators.keys import rows_per_key
 from ledgermill.operators.shares import counts_by, with_percentage
 from ledgermill.schemas import PRICE_LABELS, REJECTION_LABELS, STATUS_LABELS, VOLUME_LABELS
 
@@ -87,41 +87,105 @@ def _null_counts(df: DataFrame, tests: Sequence[TableTest]) -> DataFrame:
     return counts.select(F.inline(F.array(*cells)))
 
 
-def _failures(tables: dict[str, DataFrame], test: TableTest) -> DataFrame:
-    df, column = tables[test.table], F.col(test.column)
-    count = F.count(F.lit(1)).alias("failures")
-    if test.kind == "unique":
-        return repeated_keys(df.where(column.isNotNull()), test.column).agg(count)
-    if test.kind == "repeated_key":
-        return repeated_keys(df, test.column).agg(count)
-    if test.kind == "accepted_values":
-        return df.where(~column.isin(*test.values)).select(column).distinct().agg(count)
-    if test.kind == "relationships":
-        children = df.where(column.isNotNull())
-        return rows_without_parent(children, test.column, tables[test.to], test.field).select(
-            F.col("rows").alias("failures")
+def _key_counts(df: DataFrame, tests: Sequence[TableTest]) -> DataFrame:
+    """Both kinds of repeated keys of one column, from one grouping of its rows."""
+    counts = rows_per_key(df, tests[0].column).agg(
+        F.count_if((F.col("rows") > 1) & F.col("key").isNotNull()).alias("unique"),
+        F.count_if(F.col("rows") > 1).alias("repeated_key"),
+    )
+    cells = [
+        F.struct(
+            F.lit(t.table).alias("table_name"),
+            F.lit(t.kind).alias("check_name"),
+            F.lit(t.column).alias("column_name"),
+            F.col(t.kind).alias("failures"),
         )
-    raise ValueError(f"unknown kind of test: {test.kind}")
+        for t in tests
+    ]
+    return counts.select(F.inline(F.array(*cells)))
 
 
-def run_tests(tables: dict[str, DataFrame], tests: Sequence[TableTest] = DECLARED_TESTS) -> DataFrame:
-    """(table_name, check_name, column_name, failures, status), one row per test, as a single Spark job."""
-    null_kinds = ("not_null", "null_key")
-    by_table: dict[str, list[TableTest]] = {}
-    for test in tests:
-        if test.kind in null_kinds:
-            by_table.setdefault(test.table, []).append(test)
-    parts = [_null_counts(tables[table], group) for table, group in by_table.items()]
-    for test in tests:
-        if test.kind not in null_kinds:
-            parts.append(
-                _failures(tables, test).select(
-                    F.lit(test.table).alias("table_name"),
-                    F.lit(test.kind).alias("check_name"),
-                    F.lit(test.column).alias("column_name"),
-                    "failures",
-                )
+def _value_counts(tables: dict[str, DataFrame], tests: Sequence[TableTest]) -> DataFrame:
+    """Accepted values and relationships of one table, from one grouping by all the columns that they look at.
+
+    The combinations are spread to one row per test and value, and summed per value before they meet the parents,
+    so a hot key is one row at the join.
+    """
+    df = tables[tests[0].table]
+    columns = list(dict.fromkeys(t.column for t in tests))
+    combinations = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+    cells = []
+    for number, test in enumerate(tests):
+        column = F.col(test.column)
+        keep = ~column.isin(*test.values) if test.kind == "accepted_values" else column.isNotNull()
+        cells.append(
+            F.struct(
+                F.lit(number).alias("number"),
+                F.when(keep, column.cast("string")).alias("value"),
+                F.col("rows"),
             )
+        )
+    values = combinations.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    values = values.groupBy("number", "value").agg(F.sum("rows").alias("rows"))
+    parents = [
+        tables[t.to].select(F.lit(n).alias("number"), F.col(t.field).cast("string").alias("value"))
+        for n, t in enumerate(tests)
+        if t.kind == "relationships"
+    ]
+    if parents:
+        values = values.join(reduce(DataFrame.unionByName, parents), ["number", "value"], "left_anti")
+    sums = []
+    for number, test in enumerate(tests):
+        own = F.col("number") == number
+        sums.append(F.count_if(own) if test.kind == "accepted_values" else F.sum(F.when(own, F.col("rows"))))
+    counts = values.agg(*[F.coalesce(x, F.lit(0)).alias(f"c{i}") for i, x in enumerate(sums)])
+    cells = [
+        F.struct(
+            F.lit(t.table).alias("table_name"),
+            F.lit(t.kind).alias("check_name"),
+            F.lit(t.column).alias("column_name"),
+            F.col(f"c{i}").alias("failures"),
+        )
+        for i, t in enumerate(tests)
+    ]
+    return counts.select(F.inline(F.array(*cells)))
+
+
+def run_tests(
+    tables: dict[str, DataFrame],
+    tests: Sequence[TableTest] = DECLARED_TESTS,
+    known: Mapping[tuple[str, str, str], int] | None = None,
+) -> DataFrame:
+    """(table_name, check_name, column_name, failures, status), one row per test, as a single Spark job.
+
+    Each table is read at most three times: for NULLs, for each tested key, and for all values that are compared with
+    lists or other tables. `known` has failures counted before, by table, kind and column.
+    """
+    known = known or {}
+    groups: dict[tuple[str, ...], list[TableTest]] = {}
+    parts = []
+    for test in tests:
+        if (test.table, test.kind, test.column) in known:
+            failures = known[test.table, test.kind, test.column]
+            cells = (F.lit(x) for x in (test.table, test.kind, test.column))
+            row = tables[test.table].sparkSession.range(1)
+            row = row.select(*cells, F.lit(failures).cast("bigint"))
+            parts.append(row.toDF("table_name", "check_name", "column_name", "failures"))
+        elif test.kind in ("not_null", "null_key"):
+            groups.setdefault(("null", test.table), []).append(test)
+        elif test.kind in ("unique", "repeated_key"):
+            groups.setdefault(("key", test.table, test.column), []).append(test)
+        elif test.kind in ("accepted_values", "relationships"):
+            groups.setdefault(("value", test.table), []).append(test)
+        else:
+            raise ValueError(f"unknown kind of test: {test.kind}")
+    for (kind, table, *_), group in groups.items():
+        if kind == "null":
+            parts.append(_null_counts(tables[table], group))
+        elif kind == "key":
+            parts.append(_key_counts(tables[table], group))
+        else:
+            parts.append(_value_counts(tables, group))
     status = F.when(F.col("failures") > 0, "fail").otherwise("pass")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 
@@ -145,15 +209,32 @@ def require_checks(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> None:
     """Raises for the first failing check in the given order. The driver sees one row per check."""
     first = named_checks(df, checks).where("status = 'fail'").orderBy("position").first()
     if first is not None:
-        raise DataQualityError(f"Data quality check failed: {first.check_name} ({first.issues} issues found)")
+        raise DataQualityError(f"check {first.check_name!r} counts {first.issues} bad rows")
+
+
+def sql_checks(spark: SparkSession, checks: Sequence[tuple[str, str]]) -> DataFrame:
+    """Results of checks given as SQL, each of which counts issues in the first column of its first row: (position,
+    check_name, issues, status). No row, or NULL, is no issue."""
+    parts = []
+    for position, (name, sql) in enumerate(checks, 1):
+        found = spark.sql(sql).limit(1)
+        found = found.toDF("issues", *[f"other{i}" for i in range(1, len(found.columns))])
+        issues = found.agg(F.coalesce(F.max(F.col("issues").cast("bigint")), F.lit(0)).alias("issues"))
+        status = F.when(F.col("issues") > 0, "fail").otherwise("pass")
+        parts.append(
+            issues.select(
+                F.lit(position).alias("position"), F.lit(name).alias("check_name"), "issues", status.alias("status")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def require_sql_checks(spark: SparkSession, checks: Sequence[tuple[str, str]]) -> None:
     """Runs SQL checks in order; each gives a count in its first row, and the first positive one raises."""
-    for name, sql in checks:
-        row = spark.sql(sql).first()
-        if row is not None and row[0] is not None and row[0] > 0:
-            raise DataQualityError(f"Data quality check failed: {name} ({row[0]} issues found)")
+    for check in checks:
+        row = sql_checks(spark, [check]).first()
+        if row.status == "fail":
+            raise DataQualityError(f"check {row.check_name!r} counts {row.issues} bad rows")
 
 
 def freshness(

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from ledgermill.operators.issues import issue_log
 from ledgermill.operators.keys import repeated_keys
 from ledgermill.plans import checks, marts, reports, staging
-from ledgermill.schemas import CLEAN_FLAG, FACT_COLUMNS, REJECTION_LABELS
-from ledgermill.sources.raw_csv import LoadCounts, load_raw, read_csv
+from ledgermill.schemas import FACT_COLUMNS, ISSUE_SCHEMA, require_schema
+from ledgermill.sources.raw_csv import FAIL, LoadCounts, load_raw, read_csv
 from ledgermill.sources.tables import (
     CLEAN,
     REJECTED,
     Layout,
+    Warehouse,
     overwrite,
     read_table,
     with_row_handle,
@@ -37,10 +38,12 @@ class SplitCounts:
 class RunResult:
     loaded: LoadCounts
     split: SplitCounts
+    repeated_ids: int
     test_results: list[Row]
     flags: list[Row]
     high_issues: int
     summary: Row
+    freshness: Row | None = None
 
 
 def write_staging(spark: SparkSession, layout: Layout, id_type: str = staging.ID_TYPE) -> SplitCounts:
@@ -69,18 +72,21 @@ def read_audit(spark: SparkSession, layout: Layout) -> DataFrame:
     return staging.rejected_columns(_stored_outcome(spark, layout, REJECTED))
 
 
-def ids_are_unique(stg: DataFrame) -> bool:
-    return repeated_keys(stg, "transaction_id").isEmpty()
+def count_repeated_ids(stg: DataFrame) -> int:
+    """Ids of staging rows that occur more than once: the outcome of the declared test, known before the marts."""
+    return repeated_keys(stg.where(F.col("transaction_id").isNotNull()), "transaction_id").count()
 
 
-def write_marts(spark: SparkSession, layout: Layout, as_of: dt.date | None, id_type: str, threads: int = 4) -> None:
+def write_marts(spark: SparkSession, layout: Layout, as_of: dt.date | None, id_type: str, threads: int = 4) -> int:
     """Writes the marts and the issue log, which do not depend on each other, at the same time.
 
     Ids are checked for uniqueness first. When they are unique, the dimensions count rows instead of shuffling
     ids; when not, the running totals order and spread the repeated ids by the place where a row is stored.
+    Returns the number of repeated ids.
     """
     stg = read_staging(spark, layout)
-    unique_ids = ids_are_unique(stg)
+    repeated_ids = count_repeated_ids(stg)
+    unique_ids = not repeated_ids
     fact_source = stg
     if not unique_ids:
         log.warning("transaction ids repeat")
@@ -89,11 +95,19 @@ def write_marts(spark: SparkSession, layout: Layout, as_of: dt.date | None, id_t
         lambda: overwrite(marts.fact_transactions(fact_source, by_month=True), layout.fact, FACT_FOLDERS),
         lambda: overwrite(marts.dim_customer(stg, as_of, unique_ids), layout.dim_customer),
         lambda: overwrite(marts.dim_product(stg, unique_ids), layout.dim_product),
-        lambda: overwrite(issue_log(read_table(spark, layout.raw), id_type), layout.issues),
+        lambda: _write_issues(spark, layout, id_type),
     )
     with ThreadPoolExecutor(threads) as pool:
         for done in [pool.submit(job) for job in jobs]:
             done.result()
+    return repeated_ids
+
+
+def _write_issues(spark: SparkSession, layout: Layout, id_type: str) -> None:
+    """The log of cells holds what staging does not keep, so it reads the raw text once more."""
+    issues = issue_log(read_table(spark, layout.raw), id_type)
+    require_schema(issues, ISSUE_SCHEMA)
+    overwrite(issues, layout.issues)
 
 
 def with_stored_handle(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -122,31 +136,32 @@ def create_views(spark: SparkSession, layout: Layout) -> None:
 
 
 def create_catalog(spark: SparkSession, layout: Layout) -> None:
-    """Makes the tables available under their layer names, such as marts.fact_transactions, for every session
-    that shares the catalog. They are views on the folders, so they show each new run at once."""
-    row = "transaction_id, customer_id, transaction_date, product_id, product_name, quantity, price, tax"
+    """Makes the tables of one run available under their layer names, such as marts.fact_transactions, for every
+    session that shares the catalog. `run` does so again after each run when asked to."""
+    sources = {
+        "raw.customer_transactions_raw": layout.raw,
+        "raw.dq_issues": layout.issues,
+        "staging.stg_transactions": layout.parsed,
+        "staging.audit_transactions": layout.parsed,
+        "marts.fact_transactions": layout.fact,
+        "marts.dim_customer": layout.dim_customer,
+        "marts.dim_product": layout.dim_product,
+    }
     selects = {
-        "raw.customer_transactions_raw": f"SELECT * FROM parquet.`{layout.raw}`",
-        "raw.dq_issues": f"SELECT * FROM parquet.`{layout.issues}`",
-        "staging.stg_transactions": (
-            f"SELECT {row}, quantity * price AS total_amount, tax AS tax_amount, "
-            f"'{CLEAN_FLAG}' AS data_quality_flag, loaded_at, processed_at "
-            f"FROM parquet.`{layout.parsed}` WHERE outcome = '{CLEAN}'"
-        ),
-        "staging.audit_transactions": (
-            f"SELECT {row}, CASE WHEN quantity IS NULL THEN '{REJECTION_LABELS[0]}' "
-            f"WHEN price IS NULL THEN '{REJECTION_LABELS[1]}' WHEN tax IS NULL THEN '{REJECTION_LABELS[2]}' END "
-            f"AS rejection_reason, loaded_at, source_file, processed_at AS audited_at "
-            f"FROM parquet.`{layout.parsed}` WHERE outcome = '{REJECTED}'"
-        ),
-        "marts.fact_transactions": f"SELECT {', '.join(FACT_COLUMNS)} FROM parquet.`{layout.fact}`",
-        "marts.dim_customer": f"SELECT * FROM parquet.`{layout.dim_customer}`",
-        "marts.dim_product": f"SELECT * FROM parquet.`{layout.dim_product}`",
+        "staging.stg_transactions": ", ".join(staging.CLEAN_COLUMNS) + " FROM {} WHERE outcome = " + f"'{CLEAN}'",
+        "staging.audit_transactions": ", ".join(staging.REJECTED_COLUMNS) + " FROM {} WHERE outcome = " + f"'{REJECTED}'",
+        "marts.fact_transactions": ", ".join(FACT_COLUMNS) + " FROM {}",
     }
     for layer in ("raw", "staging", "marts"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    for name, select in selects.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+    for name, path in sources.items():
+        select = selects.get(name, "* FROM {}").format(f"parquet.`{path}`")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {select}")
+
+
+def current_layout(spark: SparkSession, root: str) -> Layout:
+    """The tables of the last finished run."""
+    return Warehouse(spark, root).current()
 
 
 def run(
@@ -156,27 +171,71 @@ def run(
     as_of: dt.date | None = None,
     id_type: str = staging.ID_TYPE,
     fail_on_tests: bool = True,
+    multi_line: bool = False,
+    on_malformed: str = FAIL,
+    catalog: bool = False,
+    fresh_within_hours: tuple[int, int] | None = None,
+) -> RunResult:
+    """A full rebuild of all layers. Only counts and report rows reach the driver.
+
+    The tables are written to a folder of this run, which becomes the current one after the last write; before that,
+    readers keep the tables of the run before. `fresh_within_hours` (warn, error) also checks the age of the
+    load. Time stamps are read and compared in UTC, whatever the session is set to.
+    """
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        return _run(
+            spark, csv_path, root, as_of, id_type, fail_on_tests, multi_line, on_malformed, catalog, fresh_within_hours
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def _run(
+    spark: SparkSession,
+    csv_path: str,
+    root: str,
+    as_of: dt.date | None,
+    id_type: str,
+    fail_on_tests: bool,
+    multi_line: bool,
+    on_malformed: str,
+    catalog: bool,
+    fresh_within_hours: tuple[int, int] | None,
 ) -> RunResult:
-    """A full rebuild of all layers. Only counts and report rows reach the driver."""
-    layout = Layout(root.rstrip("/"))
-    loaded = load_raw(read_csv(spark, csv_path, keep_malformed=True), layout.raw)
-    log.info("raw rows loaded: %d, malformed lines: %d", loaded.rows_loaded, loaded.rows_malformed)
+    warehouse = Warehouse(spark, root)
+    name, layout = warehouse.new_run()
+    rows = read_csv(spark, csv_path, multi_line, keep_problems=True)
+    loaded = load_raw(rows, layout.raw, layout.rejected_lines, on_malformed)
+    log.info("raw: %s", loaded)
+    if loaded.lines_rejected:
+        log.warning("%d lines set aside in %s", loaded.lines_rejected, layout.rejected_lines)
     split = write_staging(spark, layout, id_type)
     log.info("clean rows: %d, rejected rows: %d", split.clean, split.rejected)
-    write_marts(spark, layout, as_of, id_type)
+    repeated_ids = write_marts(spark, layout, as_of, id_type)
+    warehouse.commit(name)
+    if catalog:
+        create_catalog(spark, layout)
     tables = read_tables(spark, layout)
-    results = checks.run_tests(tables)
-    test_results = results.collect()
+    known = {("stg_transactions", "unique", "transaction_id"): repeated_ids}
+    test_results = checks.run_tests(tables, known=known).collect()
     failed = [row for row in test_results if row.status == "fail"]
     for row in failed:
         log.error("%s.%s %s: %d failures", row.table_name, row.column_name, row.check_name, row.failures)
     if failed and fail_on_tests:
         raise checks.DataQualityError(f"{len(failed)} of {len(test_results)} table tests failed")
+    age = None
+    if fresh_within_hours:
+        warn, error = fresh_within_hours
+        age = checks.freshness(tables["customer_transactions_raw"], warn_hours=warn, error_hours=error).first()
+        if age.status == "error":
+            raise checks.DataQualityError(f"the newest load is {age.age_hours} hours old")
     fact = tables["fact_transactions"]
     flags = reports.flag_distribution(fact).collect()
     high = reports.high_flag_count(fact).first().high_issues
     if high > 0:
-        log.warning("%d records with HIGH quality flags", high)
+        log.warning("flag HIGH on %d fact rows", high)
     summary = reports.run_summary(fact).first()
     log.info("summary: %s", summary.asDict())
-    return RunResult(loaded, split, test_results, flags, high, summary)
+    return RunResult(loaded, split, repeated_ids, test_results, flags, high, summary, age)

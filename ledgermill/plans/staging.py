@@ -99,14 +99,29 @@ def base_transactions(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
     return rows.select(*[filled[name].alias(name) if name in filled else name for name in rows.columns])
 
 
-def rejection_reason() -> Column:
-    """First failing amount, or NULL for a clean row."""
-    no_quantity, no_price, no_tax = REJECTION_LABELS
-    return (
-        F.when(F.col("quantity").isNull(), no_quantity)
-        .when(F.col("price").isNull(), no_price)
-        .when(F.col("tax").isNull(), no_tax)
-    )
+_ROW = ("transaction_id", "customer_id", "transaction_date", "product_id", "product_name", "quantity", "price", "tax")
+
+# First failing amount, or NULL for a clean row.
+REJECTION_REASON = "CASE " + " ".join(
+    f"WHEN {amount} IS NULL THEN '{label}'" for amount, label in zip(("quantity", "price", "tax"), REJECTION_LABELS, strict=True)
+) + " END"
+
+# SQL of the columns of both staging tables over the stored parsed rows; the catalog's views use the same text.
+CLEAN_COLUMNS = (
+    *_ROW,
+    "quantity * price AS total_amount",
+    "tax AS tax_amount",
+    f"'{CLEAN_FLAG}' AS data_quality_flag",
+    "loaded_at",
+    "processed_at",
+)
+REJECTED_COLUMNS = (
+    *_ROW,
+    f"{REJECTION_REASON} AS rejection_reason",
+    "loaded_at",
+    "source_file",
+    "processed_at AS audited_at",
+)
 
 
 def is_clean() -> Column:
@@ -123,9 +138,9 @@ def split_rows(base: DataFrame) -> DataFrame:
     )
 
 
-def _processed_at(base: DataFrame) -> Column:
-    """The stored stamp where the rows come from a written table."""
-    return F.col("processed_at") if "processed_at" in base.columns else F.current_timestamp()
+def _stamped(base: DataFrame) -> DataFrame:
+    """Rows of a written table have their stamp."""
+    return base if "processed_at" in base.columns else base.withColumn("processed_at", F.current_timestamp())
 
 
 def stg_transactions(base: DataFrame) -> DataFrame:
@@ -137,36 +152,8 @@ def audit_transactions(base: DataFrame) -> DataFrame:
 
 
 def clean_columns(clean: DataFrame) -> DataFrame:
-    return clean.select(
-        "transaction_id",
-        "customer_id",
-        "transaction_date",
-        "product_id",
-        "product_name",
-        "quantity",
-        "price",
-        "tax",
-        (F.col("quantity") * F.col("price")).alias("total_amount"),
-        F.col("tax").alias("tax_amount"),
-        F.lit(CLEAN_FLAG).alias("data_quality_flag"),
-        "loaded_at",
-        _processed_at(clean).alias("processed_at"),
-        *[name for name in ROW_HANDLE if name in clean.columns],
-    )
+    return _stamped(clean).selectExpr(*CLEAN_COLUMNS, *[name for name in ROW_HANDLE if name in clean.columns])
 
 
 def rejected_columns(rejected: DataFrame) -> DataFrame:
-    return rejected.select(
-        "transaction_id",
-        "customer_id",
-        "transaction_date",
-        "product_id",
-        "product_name",
-        "quantity",
-        "price",
-        "tax",
-        rejection_reason().alias("rejection_reason"),
-        "loaded_at",
-        "source_file",
-        _processed_at(rejected).alias("audited_at"),
-    )
+    return _stamped(rejected).selectExpr(*REJECTED_COLUMNS)

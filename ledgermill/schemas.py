@@ -1,5 +1,6 @@
 """Fixed names, schemas and lookup values of the transaction data."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 RAW_COLUMNS = (
@@ -18,6 +19,15 @@ RAW_SCHEMA = T.StructType(
     + [T.StructField("loaded_at", T.TimestampType()), T.StructField("source_file", T.StringType())]
 )
 
+REJECTED_LINE_SCHEMA = T.StructType(
+    [
+        T.StructField("line", T.StringType()),
+        T.StructField("problem", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("loaded_at", T.TimestampType()),
+    ]
+)
+
 ISSUE_SCHEMA = T.StructType(
     [
         T.StructField("issue_id", T.LongType()),
@@ -34,6 +44,15 @@ ISSUE_SCHEMA = T.StructType(
     ]
 )
 
+
+def require_schema(df: DataFrame, schema: T.StructType) -> None:
+    """A table is only written with the names and types that its definition has."""
+    have = [(f.name, f.dataType) for f in df.schema]
+    want = [(f.name, f.dataType) for f in schema]
+    if have != want:
+        raise TypeError(f"columns {have} are not those of the table, {want}")
+
+
 FACT_COLUMNS = (
     "transaction_id",
     "customer_id",

@@ -1,10 +1,15 @@
 """Where the tables live, and how they are written and read."""
 
+import atexit
+import contextlib
+import re
 import tempfile
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +18,7 @@ CLEAN, REJECTED = "clean", "rejected"
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one warehouse: raw, staging and marts layers below a root that all executors can reach."""
+    """Folders of one run's tables: raw, staging and marts layers below a root that all executors can reach."""
 
     root: str
 
@@ -21,6 +26,10 @@ class Layout:
     def raw(self) -> str:
         return f"{self.root}/raw/customer_transactions_raw"
 
+    @property
+    def rejected_lines(self) -> str:
+        return f"{self.root}/raw/rejected_lines"
+
     @property
     def issues(self) -> str:
         return f"{self.root}/raw/dq_issues"
@@ -42,6 +51,44 @@ class Layout:
         return f"{self.root}/marts/dim_product"
 
 
+class Warehouse:
+    """Runs below one root. Each run writes a folder of its own, and becomes the current one by a marker file that is
+    created after its last write: readers see all tables of one run, and a run that fails changes nothing."""
+
+    KEPT_RUNS = 2
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root = root.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        path = self._path(f"{self.root}/{folder}")
+        if not self._files.exists(path):
+            return []
+        return sorted(status.getPath().getName() for status in self._files.listStatus(path))
+
+    def new_run(self) -> tuple[str, Layout]:
+        name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        return name, Layout(f"{self.root}/runs/{name}")
+
+    def current(self) -> Layout:
+        committed = self._names("committed")
+        if not committed:
+            raise FileNotFoundError(f"no finished run below {self.root}")
+        return Layout(f"{self.root}/runs/{committed[-1]}")
+
+    def commit(self, name: str) -> None:
+        """Makes the run current, and removes all older runs but the previous one, failed ones included."""
+        self._files.create(self._path(f"{self.root}/committed/{name}"), False).close()
+        kept = self._names("committed")[-self.KEPT_RUNS :]
+        for folder in ("committed", "runs"):
+            for old in self._names(folder):
+                if old < name and old not in kept:
+                    self._files.delete(self._path(f"{self.root}/{folder}/{old}"), True)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Full rebuild of a table: a retry replaces rows, it never adds them."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
@@ -70,13 +117,30 @@ def with_row_handle(df: DataFrame) -> DataFrame:
 ROW_HANDLE = ("row_file", "row_index")
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def _remove_scratch() -> None:
+    """Deletes this process's scratch tables when it ends, as long as its session still runs."""
+    for spark, path in _scratch:
+        context = spark.sparkContext
+        if context._jsc is None or context._jsc.sc().isStopped():
+            continue
+        with contextlib.suppress(Py4JError):  # the JVM may be gone already
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors can reach: below the cluster's checkpoint folder, or, where none is
-    set and Spark runs in one machine, below a temporary folder that then becomes the checkpoint folder."""
+    """A fresh folder that all executors can reach, below the cluster's checkpoint folder; it goes when the process
+    ends. Where none is set and Spark runs in one process, as in tests, it is a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="ledgermill-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = tempfile.gettempdir()
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path

@@ -60,13 +60,21 @@ def test_line_break_in_quotes(spark, tmp_path):
 def test_load_counts_rows_and_malformed_lines(spark, tmp_path):
     path = write(tmp_path / "a.csv", HEADER, "1,2,3,4,5,6,7,8", "2,2,3", "3,2,3,4,5,6,7,8,9")
     target = str(tmp_path / "raw")
-    counts = load_raw(read_csv(spark, path, keep_malformed=True), target)
-    assert (counts.rows_loaded, counts.rows_malformed) == (3, 2)
+    counts = load_raw(read_csv(spark, path, keep_problems=True), target, str(tmp_path / "bad"), "quarantine")
+    assert (counts.rows_loaded, counts.rows_short, counts.lines_rejected) == (2, 1, 1)
+    assert [r.line for r in read_table(spark, str(tmp_path / "bad")).collect()] == ["3,2,3,4,5,6,7,8,9"]
     stored = read_table(spark, target)
     assert stored.columns == [*RAW_COLUMNS, "loaded_at", "source_file"]
     assert ("2", "2", "3", None, None, None, None, None) in texts(stored)
 
 
+def test_a_table_is_written_with_its_own_columns_only(spark, tmp_path):
+    with pytest.raises(TypeError):
+        load_raw(raw_frame(spark, {}).drop("tax"), str(tmp_path / "raw"))
+    with pytest.raises(ValueError):
+        load_raw(raw_frame(spark, {}), str(tmp_path / "raw"), on_malformed="ignore")
+
+
 def test_reload_replaces(spark, tmp_path):
     target = str(tmp_path / "raw")
     for _ in range(2):

@@ -6,6 +6,7 @@ every column can be compared with another engine.
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from ledgermill.plans import checks, marts, reports, staging
 from ledgermill.plans.run import read_tables, write_marts, write_staging
 from ledgermill.schemas import RAW_COLUMNS
 from ledgermill.sources.orders_feed import read_raw_from_orders
-from ledgermill.sources.raw_csv import load_raw, read_csv
-from ledgermill.sources.tables import Layout, overwrite, read_table, shared_folder
+from ledgermill.sources.raw_csv import QUARANTINE, load_raw, read_csv
+from ledgermill.sources.tables import ROW_HANDLE, Layout, overwrite, read_table, shared_folder, with_row_handle
 
 AS_OF = dt.date(2001, 8, 2)
 EVENTS_AS_OF = dt.datetime(2024, 2, 1)
@@ -98,10 +99,11 @@ def load_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_reload_idempotent(spark: SparkSession, folder: str) -> DataFrame:
+    """The content after two loads into one place."""
     path = shared_folder(spark, "raw")
     for _ in range(2):
-        overwrite(raw(spark, folder), path)
-    return reports.row_count(read_table(spark, path), "row_count")
+        load_raw(raw(spark, folder), path)
+    return read_table(spark, path).select(*RAW_COLUMNS)
 
 
 def raw_row_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,6 +111,51 @@ def raw_row_count(spark: SparkSession, folder: str) -> DataFrame:
     return spark.range(1).select(F.lit(counts.rows_loaded).cast("bigint").alias("rows_loaded"))
 
 
+def _as_lines(spark: SparkSession, folder: str) -> str:
+    """The transactions as CSV lines, some of them damaged by rules on the order key."""
+    rows = raw_transactions(spark, folder).withColumn("k", F.regexp_extract("transaction_id", "[0-9]+", 0).cast("bigint"))
+    cells = [F.coalesce(name, F.lit("")) for name in RAW_COLUMNS]
+    damaged = (
+        F.when(F.col("k") % 50 == 0, F.concat_ws(",", *cells[:6], F.lit("1"), *cells[6:]))
+        .when(F.col("k") % 77 == 0, F.concat_ws(",", *cells[:4], F.concat(F.lit('"'), cells[4]), *cells[5:]))
+        .when(F.col("k") % 90 == 1, F.concat_ws(",", *cells[:5]))
+        .otherwise(F.concat_ws(",", *cells))
+    )
+    path = shared_folder(spark, "damaged-csv")
+    options = {"header": True, "quote": "", "sep": "\u0001", "emptyValue": ""}
+    rows.select(damaged.alias(",".join(RAW_COLUMNS))).write.options(**options).csv(path)
+    return path
+
+
+def csv_malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines set aside by a load, and what is wrong with them."""
+    rows = read_csv(spark, _as_lines(spark, folder), keep_problems=True)
+    rejected = shared_folder(spark, "rejected")
+    load_raw(rows, shared_folder(spark, "raw"), rejected, QUARANTINE)
+    return read_table(spark, rejected).select("line", "problem")
+
+
+def csv_load_without_malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What the same load keeps; short lines have NULLs."""
+    rows = read_csv(spark, _as_lines(spark, folder), keep_problems=True)
+    path = shared_folder(spark, "raw")
+    load_raw(rows, path, shared_folder(spark, "rejected"), QUARANTINE)
+    return read_table(spark, path).select(*RAW_COLUMNS)
+
+
+def csv_multi_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Names with a line break, a comma and quotes, read back as one value each."""
+    odd = F.concat(F.col("product_name"), F.lit('\n"large", blue'))
+    rows = raw_transactions(spark, folder)
+    rows = rows.withColumn("product_name", F.when(F.col("product_id") == "102", odd).otherwise(F.col("product_name")))
+    path = shared_folder(spark, "multi-line-csv")
+    rows.write.options(header=True, quote='"', escape='"').csv(path)
+    read = read_csv(spark, path, multi_line=True, keep_problems=True)
+    target = shared_folder(spark, "raw")
+    load_raw(read, target)
+    return read_table(spark, target).select(*RAW_COLUMNS)
+
+
 # --- staging ---------------------------------------------------------------------------------------------
 
 KEYS = ("transaction_id", "customer_id", "transaction_date", "product_id", "product_name")
@@ -181,6 +228,42 @@ def product_cumulative_quantity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def customer_cumulative_spend_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The same totals with limits so small that most groups are cut; limits choose a plan, not a result."""
+    spend = with_running_total(fact_rows(spark, folder), marts.customer_spend(hot_rows=3, chunk_rows=2))
+    return spend.select(
+        "transaction_id", "customer_id", F.col("customer_cumulative_spend").cast("decimal(38,4)").alias("spend")
+    )
+
+
+def product_cumulative_quantity_split(spark: SparkSession, folder: str) -> DataFrame:
+    total = with_running_total(base(spark, folder), marts.product_quantity(hot_rows=0, chunk_rows=2))
+    return total.select(
+        "transaction_id", "product_id", F.col("product_cumulative_quantity").cast("decimal(38,2)").alias("total")
+    )
+
+
+def running_total_sparse_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids spread over 62 bits, all products cut."""
+    sparse = F.col("transaction_id") * F.lit(1_000_003 * 1_000_003)
+    rows = base(spark, folder).withColumn("transaction_id", sparse)
+    total = with_running_total(rows, marts.product_quantity(hot_rows=0, chunk_rows=3))
+    return total.select(
+        "transaction_id", "product_id", F.col("product_cumulative_quantity").cast("decimal(38,2)").alias("total")
+    )
+
+
+def running_total_repeated_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row stored twice, with a row handle: the totals after all copies of an id."""
+    path = shared_folder(spark, "twice")
+    rows = base(spark, folder)
+    overwrite(rows.unionAll(rows), path)
+    spec = replace(marts.product_quantity(hot_rows=0, chunk_rows=3), handle=ROW_HANDLE)
+    total = with_running_total(with_row_handle(read_table(spark, path)), spec)
+    ends = total.groupBy("transaction_id", "product_id").agg(F.max("product_cumulative_quantity").alias("total"))
+    return ends.select("transaction_id", "product_id", F.col("total").cast("decimal(38,2)").alias("total"))
+
+
 # --- checks ----------------------------------------------------------------------------------------------
 
 
@@ -227,18 +310,20 @@ def fact_null_customer(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where(F.col("customer_id").isNull())
 
 
-def stored_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All layers written by the same steps as a batch run, so that later steps do not parse the text again."""
+def stored_tables(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], int]:
+    """All layers written by the same steps as a batch run, so that later steps do not parse the text again, and
+    the number of repeated ids."""
     layout = Layout(shared_folder(spark, "warehouse"))
     load_raw(raw(spark, folder), layout.raw)
     write_staging(spark, layout)
-    write_marts(spark, layout, AS_OF, staging.ID_TYPE)
-    return read_tables(spark, layout)
+    repeated_ids = write_marts(spark, layout, AS_OF, staging.ID_TYPE)
+    return read_tables(spark, layout), repeated_ids
 
 
 def declared_tests(spark: SparkSession, folder: str) -> DataFrame:
     """All 35 tests over the written tables."""
-    return checks.run_tests(stored_tables(spark, folder))
+    tables, repeated_ids = stored_tables(spark, folder)
+    return checks.run_tests(tables, known={("stg_transactions", "unique", "transaction_id"): repeated_ids})
 
 
 def source_freshness(spark: SparkSession, folder: str) -> DataFrame:
@@ -257,6 +342,19 @@ def named_checks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sql_checks(spark: SparkSession, folder: str) -> DataFrame:
+    fact_rows(spark, folder).createOrReplaceTempView("checked_fact")
+    return checks.sql_checks(
+        spark,
+        [
+            ("negative amounts", "SELECT count(*) FROM checked_fact WHERE total_amount < 0"),
+            ("large amounts", "SELECT count(*) FROM checked_fact WHERE total_amount >= 1500"),
+            ("no row", "SELECT transaction_id FROM checked_fact WHERE total_amount < 0"),
+            ("NULL", "SELECT sum(quantity) FROM checked_fact WHERE total_amount < 0"),
+        ],
+    )
+
+
 def dq_flag_summary(spark: SparkSession, folder: str) -> DataFrame:
     """With some flags HIGH and some unset."""
     flagged = with_high_flags(fact_rows(spark, folder))
@@ -272,18 +370,9 @@ def dq_issues(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def layer_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base(spark, folder)
-    clean = staging.stg_transactions(rows)
-    return reports.layer_row_counts(
-        {
-            "customer_transactions_raw": raw(spark, folder),
-            "stg_transactions": clean,
-            "audit_transactions": staging.audit_transactions(rows),
-            "fact_transactions": marts.fact_rows(clean),
-            "dim_customer": marts.dim_customer(clean, AS_OF),
-            "dim_product": marts.dim_product(clean),
-        }
-    )
+    """Over the written tables."""
+    tables, _ = stored_tables(spark, folder)
+    return reports.layer_row_counts({name: tables[name] for name in tables if name != "dq_issues"})
 
 
 def sample_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -376,6 +465,9 @@ QUERIES: dict[str, Query] = {
         load_metadata,
         raw_reload_idempotent,
         raw_row_count,
+        csv_malformed_lines,
+        csv_load_without_malformed_lines,
+        csv_multi_line,
         base_transactions,
         quality_flags,
         stg_transactions,
@@ -385,6 +477,10 @@ QUERIES: dict[str, Query] = {
         dim_product,
         customer_cumulative_spend,
         product_cumulative_quantity,
+        customer_cumulative_spend_split,
+        product_cumulative_quantity_split,
+        running_total_sparse_ids,
+        running_total_repeated_ids,
         check_not_null,
         check_unique,
         check_accepted_values,
@@ -394,6 +490,7 @@ QUERIES: dict[str, Query] = {
         declared_tests,
         source_freshness,
         named_checks,
+        sql_checks,
         dq_flag_summary,
         dq_issues,
         dq_issue_count,
