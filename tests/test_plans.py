@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.plans import marts, reports, staging
+from ledgermill.plans import checks, marts, reports, staging
 from ledgermill.plans.run import read_tables, write_marts, write_staging
 from ledgermill.schemas import FACT_COLUMNS
 from ledgermill.sources.raw_csv import load_raw
@@ -128,3 +128,12 @@ def test_a_large_month_is_split_over_files(spark, stored, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "t" / "m=1").glob("*.parquet"))) == 1
     assert len(list((tmp_path / "t" / "m=2").glob("*.parquet"))) > 3
+
+
+def test_table_tests_shuffle_ids_once_and_read_the_fact_three_times(spark, stored, no_small_tables):
+    plan = checks.run_tests(stored[1])._jdf.queryExecution().executedPlan().toString()
+    by_id = re.findall(r"Exchange hashpartitioning\((?:key|transaction_id)#\d+L?[,)]", plan)
+    keys = re.findall(r"keys=\[transaction_id#\d+L?[^\]]*\], functions=\[partial_count", plan)
+    assert len(keys) == 2, keys  # staging and fact
+    assert len(by_id) <= 4  # and the keys of the dimensions
+    assert len(re.findall(r"FileScan parquet [^\n]*fact_transactions", plan)) <= 3
