@@ -1,9 +1,9 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted lists, and weighted votes.
 
 1. Examples are a bounded sample of the labelled rows: per class the `per_class` rows whose ids have the smallest hashes.
-2. Terms are words (A-Z lower-cased, outer punctuation dropped) and five-byte beginnings of longer words, so that
-   inflected forms meet. The `terms` terms most tied to the label (chi squared of their presence in examples, at least
-   `least_tie`) make the vector space.
+2. Terms are words (A-Z lower-cased, outer punctuation dropped) and beginnings of longer words, so that
+   inflected forms meet. The `terms` terms whose presence in examples tells most about the label make the vector space;
+   terms that chance alone could give among so many are left out.
 3. One pass over all texts gives each document's term counts; document frequencies are summed over all documents.
 4. Examples are sorted and cut into blocks of BLOCK; each term keeps the highest weight that it has in each block. A
    document visits blocks in order of their bound on the cosine and stops when the bound is below the k-th best, so its
@@ -31,7 +31,8 @@ BLOCK = 512
 #: Scored vectors that a Python worker remembers; copies and texts with one or two terms repeat them.
 REMEMBERED = 50_000
 EDGES = b".,;:!?\"'()[]{}*#$%&|<>-_"
-STEM = 5
+#: Lengths in bytes of the beginnings of words that are terms too.
+STEMS = (5, 7, 9)
 
 
 def _terms(text: bytes) -> Counter[bytes]:
@@ -41,8 +42,9 @@ def _terms(text: bytes) -> Counter[bytes]:
         word = word.strip(EDGES)
         if word:
             out[word] += n
-            if len(word) > STEM:
-                out[b"^" + word[:STEM]] += n
+            for stem in STEMS:
+                if len(word) > stem:
+                    out[b"^" + word[:stem]] += n
     return out
 
 
@@ -68,8 +70,10 @@ def _vectors(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatc
                 at = get(word)
                 if at is not None:
                     own[at] = own.get(at, 0) + n
-                if len(word) > STEM:
-                    at = get(b"^" + word[:STEM])
+                for stem in STEMS:
+                    if len(word) <= stem:
+                        break
+                    at = get(b"^" + word[:stem])
                     if at is not None:
                         own[at] = own.get(at, 0) + n
             numbers += own
@@ -211,7 +215,7 @@ def neighbour_scores(
     text: str = "text",
     per_class: int = 4096,
     terms: int = 2048,
-    least_tie: float = 30.0,
+    chance: float = 0.01,
     k: int = 15,
 ) -> DataFrame:
     """One row per row of docs: doc_id, score (0 to 1) and evidence (ids of the three nearest examples). `labels`
@@ -232,12 +236,16 @@ def neighbour_scores(
         found = found.groupBy("term").agg(F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b"))
         sizes = {label: min(n, per_class) for label, n in classes.items()}
         pos, neg = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-        a, b = F.col("a").cast("double"), F.col("b").cast("double")
-        odds = a * F.lit(neg) - b * F.lit(pos)
-        rest = (a + b) * F.greatest(F.lit(pos + neg) - a - b, F.lit(0.5)) * F.lit(max(pos * neg, 1.0))
-        found = found.withColumn("tie", F.lit(pos + neg) * odds * odds / rest)
-        found = found.where((F.col("tie") >= least_tie) & (a + b >= 5) & (F.octet_length("term") <= 64))
-        chosen = [bytes(row["term"]) for row in found.orderBy(F.desc("tie"), "term").limit(terms).select("term").collect()]
+        found = common.saved(found, "terms")
+        if pos and neg:
+            # Evidence of each term against chance, as the exponent of a bound on its probability; a term counts if
+            # chance would make one as telling among all terms with a probability of at most `chance`.
+            a, b, share = F.col("a").cast("double"), F.col("b").cast("double"), pos / (pos + neg)
+            part = [F.when(x > 0, x * F.log(x / (a + b) / F.lit(q))).otherwise(0.0) for x, q in ((a, share), (b, 1 - share))]
+            found = found.withColumn("tie", part[0] + part[1]).where(F.octet_length("term") <= 64)
+            found = found.where(F.col("tie") >= F.lit(log(max(1, found.count()) / chance)))
+            rows = found.orderBy(F.desc("tie"), "term").limit(terms).select("term").collect()
+            chosen = [bytes(row["term"]) for row in rows]
     known = spark.sparkContext.broadcast({term: i for i, term in enumerate(chosen)})
     kind = "id bigint, terms array<int>, times array<int>"
     vectors = common.saved(common.map_arrow(source, lambda batches: _vectors(batches, known), kind), "vectors")
