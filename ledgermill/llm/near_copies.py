@@ -200,16 +200,19 @@ def near_copies(
         total = per_list.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2)).first()
         if not total[0] or not total[1]:
             break
-        last = total[1] <= 4 * total[0] or round_number == 4
+        # The first round always uses hubs where groups are large; later ones only where many pairs are left, as the
+        # bounds on what a pair can share keep most of them from being formed.
+        last = total[1] <= (4, 1000)[round_number > 0] * total[0] or round_number == 4
         same = (F.col("at_a") == F.col("at_b")) & (F.col("value_a") == F.col("value_b"))
         right = sided(placed, "b")
         if last:
             pairs = sided(placed, "a").join(right, same & (F.col("part_a") < F.col("part_b")) & possible())
         else:
-            # One node of each list, from its first or last part and the one with most to share, against the others.
-            part = (F.col("part"), -F.col("part"))[round_number % 2]
+            # One node of each list against the others: the one with the largest part to share, then one of the last part.
             kept = [c for c in placed.columns if c not in ("at", "value")]
-            best = F.struct((-part).alias("rank"), F.col("common").alias("most"), (-F.col("node")).alias("tie"), *kept)
+            shared = F.expr("1000 * common div greatest(size, 1)")
+            rank = shared if round_number % 2 == 0 else F.col("part")
+            best = F.struct(rank.alias("rank"), shared.alias("most"), (-F.col("node")).alias("tie"), *kept)
             hubs = placed.groupBy("at", "value").agg(F.max(best).alias("hub"))
             hubs = sided(hubs.select("at", "value", *[F.col(f"hub.{c}").alias(c) for c in kept]), "a")
             pairs = hubs.join(right, same & (F.col("part_a") != F.col("part_b")) & possible())
