@@ -176,7 +176,7 @@ def test_quarantine_keeps_such_lines_out_of_all_layers(spark, tmp_path):
 
 def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     root = str(tmp_path / "warehouse")
-    path = csv_file(tmp_path, [GOOD_LINES[0], "2502,501.0,2023-07-12,106,\"Product\\nF\",1,2.00,0.20"])
+    path = csv_file(tmp_path, [GOOD_LINES[0], "2502,501.0,2023-07-12,106,\"Product\nF\",1,2.00,0.20"])
     with pytest.raises(MalformedCsvError):
         runs.run(spark, path, root, AS_OF)
     result = runs.run(spark, path, root, AS_OF, multi_line=True, fresh_within_hours=(24, 48))
