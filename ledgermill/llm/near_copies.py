@@ -103,6 +103,10 @@ def _full_sets(batches: Iterator[pa.RecordBatch], run_words: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([batch.column("id"), sets], names=["node", "runs"])
 
 
+def list_number(at: Column, value: Column) -> Column:
+    return F.shiftleft(at.cast("bigint"), 32) + value.cast("bigint")
+
+
 def near_copies(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -133,8 +137,9 @@ def near_copies(
     lists = tokens.join(shared, ["at", "value"]).groupBy("node", "k1")
     lists = lists.agg(F.sort_array(F.collect_list(F.struct("n", "at", "value"))).alias("lists"))
     prefix = F.slice("lists", 1, F.size("lists") - (t - 1))
-    posts = lists.where(F.size("lists") >= t).select("node", "k1", F.explode(prefix).alias("p"))
-    posts = common.saved(posts.select("node", "k1", "p.at", "p.value"), "posts")
+    numbers = F.transform(prefix, lambda p: list_number(p["at"], p["value"]))
+    posts = lists.where(F.size("lists") >= t).select("node", "k1", numbers.alias("lists"), F.explode(prefix).alias("p"))
+    posts = common.saved(posts.select("node", "k1", "lists", "p.at", "p.value"), "posts")
     signatures = nodes.join(posts.select("node", "k1").distinct(), ["node", "k1"], "left_semi")
     signatures = common.saved(signatures.select("node", "k1", "signature"), "signatures")
     runs = common.map_arrow(
@@ -206,10 +211,13 @@ def near_copies(
         same = (F.col("at_a") == F.col("at_b")) & (F.col("value_a") == F.col("value_b"))
         right = sided(placed, "b")
         if last:
-            pairs = sided(placed, "a").join(right, same & (F.col("part_a") < F.col("part_b")) & possible())
+            # A pair is formed in the first list that both are posted in. Where one of them has left that list,
+            # they cannot be linked.
+            first = F.array_min(F.array_intersect("lists_a", "lists_b")) == list_number(F.col("at_a"), F.col("value_a"))
+            pairs = sided(placed, "a").join(right, same & (F.col("part_a") < F.col("part_b")) & possible() & first)
         else:
             # One node of each list against the others: the one with the largest part to share, then one of the last part.
-            kept = [c for c in placed.columns if c not in ("at", "value")]
+            kept = [c for c in placed.columns if c not in ("at", "value", "lists")]
             shared = F.expr("1000 * common div greatest(size, 1)")
             rank = shared if round_number % 2 == 0 else F.col("part")
             best = F.struct(rank.alias("rank"), shared.alias("most"), (-F.col("node")).alias("tie"), *kept)
