@@ -30,6 +30,8 @@ from ledgermill.llm import common
 START = "▁"
 #: Distinct words that a counting task holds before it passes their counts on.
 HELD_WORDS = 200_000
+#: Characters up to which a word's expected uses are found without logarithms.
+SHORT = 12
 LN10 = log(10)
 
 
@@ -39,6 +41,10 @@ class Lattice:
     def __init__(self, pieces: dict[str, float], byte: float):
         self.pieces, self.byte = pieces, byte
         self.longest = max(map(len, pieces), default=1)
+        self.weights: dict[str, float] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"weights": {}}
 
     def forward(self, word: str) -> list[float]:
         """Log probability of each prefix of START + word."""
@@ -65,6 +71,8 @@ class Lattice:
 
     def expected(self, word: str, count: float, into: dict[str, float]) -> float:
         """Adds the expected uses of pieces in `count` such words; returns those of single bytes."""
+        if len(word) <= SHORT:
+            return self._expected_short(START + word, count, into)
         text = START + word
         alpha = self.forward(word)
         total, get, in_bytes = alpha[-1], self.pieces.get, 0.0
@@ -87,6 +95,38 @@ class Lattice:
         return in_bytes
 
 
+    def _expected_short(self, text: str, count: float, into: dict[str, float]) -> float:
+        """The same with plain products, which cannot run out of range on a short text."""
+        if not self.weights:
+            self.weights = {piece: exp(p) for piece, p in self.pieces.items()}
+        get, n, longest = self.weights.get, len(text), self.longest
+        alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+        steps: list[tuple[int, int, str, float]] = []
+        for start in range(n):
+            before = alpha[start]
+            if not before:
+                continue
+            for end in range(start + 1, min(n, start + longest) + 1):
+                piece = text[start:end]
+                p = get(piece)
+                if p is not None:
+                    steps.append((start, end, piece, p))
+                    alpha[end] += before * p
+                elif end == start + 1:
+                    p = exp(self.byte * len(piece.encode()))
+                    steps.append((start, end, "", p))
+                    alpha[end] += before * p
+        scale, in_bytes = count / alpha[n], 0.0
+        for start, end, piece, p in reversed(steps):
+            tail = p * beta[end]
+            beta[start] += tail
+            if piece:
+                into[piece] = into.get(piece, 0.0) + scale * alpha[start] * tail
+            else:
+                in_bytes += scale * alpha[start] * tail * len(text[start].encode())
+        return in_bytes
+
+
 def vocabulary(path: str) -> Lattice:
     """The pieces of a sentencepiece model, weighted by the ranks that its scores give."""
     import sentencepiece

@@ -33,6 +33,19 @@ def test_forward_sums_all_segmentations():
     assert vocabulary(PATH).log_probability("x" * 5000) < -1000
 
 
+def test_expected_uses_are_the_same_with_and_without_logarithms(monkeypatch):
+    model = vocabulary(PATH)
+    for word in ("the", "thing", "ñandú", "東京x", "a1-b2.", "x" * 12, "\x00\x01"):
+        found = []
+        for short in (12, 0):
+            monkeypatch.setattr("ledgermill.llm.lattice.SHORT", short)
+            uses = {}
+            found.append((model.expected(word, 3.0, uses), uses))
+        assert isclose(found[0][0], found[1][0], abs_tol=1e-12)
+        assert found[0][1].keys() == found[1][1].keys()
+        assert all(isclose(n, found[1][1][p], rel_tol=1e-9, abs_tol=1e-12) for p, n in found[0][1].items())
+
+
 @pytest.mark.parametrize("head_words", [0, 50, 1 << 17])
 def test_counts_and_base_scores_against_brute_force(spark, head_words):
     texts = helpers.edge_texts()
