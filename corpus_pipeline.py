@@ -5,7 +5,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 at most one stage.
 
 1. quality_rules: failing lines are removed; documents that fail the rules or lose too much are dropped.
-2. near_dedup: of each group of near-copies the document with the smallest id stays. Documents without id stay.
+2. near_dedup: of each group of near-copies (80 % or more of their runs of five words shared) the document with the
+   smallest id stays. Documents without id stay.
 3. substring_dedup: runs of 50 words that start in an earlier document are cut out. Documents stay, if only as ''.
 4. mixing: documents are sampled to tempered shares of source, language and form; empty documents are never drawn.
 5. packing: the sample becomes pieces placed in sequences of at most 2048 tokens.
@@ -24,6 +25,9 @@ from ledgermill.llm.near_copies import near_copies
 from ledgermill.llm.packing import pack
 from ledgermill.llm.substrings import cut_repeats
 
+#: Texts with this share of their joint runs of five words or more are near-copies; op8 asks for 85.
+SIMILAR_PERCENT = 80
+
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """docs with neutral column names, which no operator adds, and the names by the original ones."""
@@ -47,7 +51,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = near_copies(docs.select("doc_id", "text")).where("NOT kept").select("doc_id").distinct()
+    judged = near_copies(docs.select("doc_id", "text"), percent=SIMILAR_PERCENT)
+    dropped = judged.where("NOT kept").select("doc_id").distinct()
     dropped = common.saved(dropped.withColumnRenamed("doc_id", "dropped_id"), "dropped")
     return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
 

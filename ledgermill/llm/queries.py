@@ -77,7 +77,7 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_copies(documents(spark, folder))
+    return near_copies(documents(spark, folder), percent=85)
 
 
 def op9_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
