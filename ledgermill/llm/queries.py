@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import mixing
+from ledgermill.llm import manifest, mixing
 from ledgermill.llm.additive import additive_scores
 from ledgermill.llm.lattice import held_out_by_id, lattice_scores
 from ledgermill.llm.line_rules import line_quality
@@ -89,6 +89,10 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.tamper_check(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -100,8 +104,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_lattice_scores": op9_lattice_scores,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 ORACLE: dict[str, str] = {
     "op3_url_filters": url_oracle(URL_RULES),
     "op5_mixing_to_targets": mixing.oracle(),
+    "op11_merkle_manifest": manifest.oracle(),
 }

@@ -67,7 +67,7 @@ def test_an_empty_table_passes_through(spark, tmp_path):
 
 def test_all_queries_are_registered():
     names = list(__spark_entry__.queries())
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_dedup", "substring_dedup", "mixing", "packing",
