@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import manifest, mixing
+from ledgermill.llm import divergence, manifest, mixing
 from ledgermill.llm.additive import additive_scores
 from ledgermill.llm.lattice import held_out_by_id, lattice_scores
 from ledgermill.llm.line_rules import line_quality
@@ -14,6 +14,7 @@ from ledgermill.llm.near_copies import near_copies
 from ledgermill.llm.neighbours import neighbour_scores
 from ledgermill.llm.packing import pack
 from ledgermill.llm.pivots import near_vectors
+from ledgermill.llm.shards import shard_documents
 from ledgermill.llm.substrings import cut_repeats
 from ledgermill.llm.url_rules import SPAM_PATTERNS, judge_urls, prefix_rule
 from ledgermill.llm.url_rules import oracle as url_oracle
@@ -93,6 +94,16 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.tamper_check(documents(spark, folder))
 
 
+def op12_group_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shard_documents(documents(spark, folder), shards=8)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -105,9 +116,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lattice_scores": op9_lattice_scores,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_group_shards": op12_group_shards,
+    "op13_source_divergence": op13_source_divergence,
 }
 ORACLE: dict[str, str] = {
     "op3_url_filters": url_oracle(URL_RULES),
     "op5_mixing_to_targets": mixing.oracle(),
     "op11_merkle_manifest": manifest.oracle(),
+    "op13_source_divergence": divergence.oracle(),
 }
