@@ -6,6 +6,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from ledgermill.plans.refresh import KEPT, refresh
 from ledgermill.plans.run import run
 from ledgermill.plans.staging import ID_TYPE
 from ledgermill.sources.raw_csv import FAIL, QUARANTINE
@@ -26,7 +27,12 @@ def main() -> None:
     parser.add_argument(
         "--fresh-within", type=int, nargs=2, metavar=("WARN", "ERROR"), help="hours a load may be old"
     )
+    parser.add_argument(
+        "--incremental", action="store_true", help="read only new files and rewrite only the months they touch"
+    )
     args = parser.parse_args()
+    if args.incremental and (args.multi_line or args.catalog or args.fresh_within):
+        parser.error("--incremental does not go with --multi-line, --catalog or --fresh-within")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = (
@@ -35,6 +41,15 @@ def main() -> None:
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )
+    if args.incremental:
+        outcome = refresh(
+            spark, args.csv, args.root, args.as_of, args.id_type, not args.keep_going, args.on_malformed
+        )
+        print(f"files: {outcome.files}")
+        for month in outcome.months:
+            if month.change != KEPT:
+                print(f"month {month.month}: {month.change}, {month.rows} rows")
+        return
     result = run(
         spark,
         args.csv,

@@ -69,9 +69,9 @@ class RunningTotal:
 class Chunks:
     """Marks rows with the chunk they belong to. The lists that decide it are made from `source` once."""
 
-    def __init__(self, source: DataFrame, spec: RunningTotal):
+    def __init__(self, source: DataFrame, spec: RunningTotal, rows: int):
         self.spec = spec
-        self.hot_rows, self.chunk_rows = spec.limits(source.count())
+        self.hot_rows, self.chunk_rows = spec.limits(rows)
         self.hot = None
         narrow = source.select(*self._needed(source))
         if self.hot_rows:
@@ -158,15 +158,15 @@ def _offsets(source: DataFrame, chunks: Chunks) -> DataFrame:
 
 def with_running_total(rows: DataFrame, spec: RunningTotal, source: DataFrame | None = None) -> DataFrame:
     """`source` supplies the group sizes and chunk totals: the same rows at an earlier, cheaper stage. It is
-    counted first, to scale the limits."""
+    counted first, to scale the limits; when all rows together are within a chunk, groups get a plain window."""
     source = rows if source is None else source
-    chunks = Chunks(source, spec)
+    n_rows = source.count()
     copies = [F.xxhash64(*spec.handle), *spec.handle] if spec.handle else []
-    window = (
-        W.partitionBy(*spec.chunk)
-        .orderBy(spec.day, spec.key, *copies)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
+    ordered = W.orderBy(spec.day, spec.key, *copies).rowsBetween(W.unboundedPreceding, W.currentRow)
+    if n_rows <= spec.chunk_rows:
+        return rows.select(*rows.columns, F.sum(spec.value).over(ordered.partitionBy(spec.group)).alias(spec.name))
+    chunks = Chunks(source, spec, n_rows)
+    window = ordered.partitionBy(*spec.chunk)
     within, before = F.col("_within"), F.col("_before")
     summed = chunks.mark(rows).withColumn("_within", F.sum(spec.value).over(window))
     total = F.coalesce(before + within, within, before).cast(summed.schema["_within"].dataType)

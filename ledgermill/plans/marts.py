@@ -34,9 +34,10 @@ def _fact_columns() -> list[Column | str]:
     ]
 
 
-def fact_rows(stg: DataFrame) -> DataFrame:
-    """One row per transaction with date parts and buckets: everything but the running totals, no shuffle."""
-    return stg.where(F.col("transaction_id").isNotNull()).select(*_fact_columns())
+def fact_rows(stg: DataFrame, *others: str) -> DataFrame:
+    """One row per transaction with date parts and buckets: everything but the running totals, no shuffle. `others` are
+    columns of stg to keep besides."""
+    return stg.where(F.col("transaction_id").isNotNull()).select(*_fact_columns(), *others)
 
 
 def customer_spend(hot_rows: int = HOT_GROUP_ROWS, chunk_rows: int = CHUNK_ROWS) -> RunningTotal:
@@ -89,16 +90,22 @@ def dim_customer(stg: DataFrame, as_of: dt.date | None = None, unique_ids: bool
         F.min("transaction_date").alias("first_day"),
         F.max("transaction_date").alias("last_day"),
     )
+    ids = None if unique_ids else stg.groupBy("customer_id").agg(F.count_distinct("transaction_id").alias("total_transactions"))
+    return customer_dimension(by_name, as_of, ids)
+
+
+def customer_dimension(by_name: DataFrame, as_of: dt.date | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """The customers from (customer_id, product_name, rows, first_day, last_day), of which there may be several for a
+    customer and name. `ids` has the distinct ids per customer where they differ from the rows."""
     profile = by_name.groupBy("customer_id").agg(
         F.max("product_name").alias("last_purchased_product"),
         F.sum("rows").alias("rows"),
         F.min("first_day").alias("first_transaction_date"),
         F.max("last_day").alias("last_transaction_date"),
     )
-    if unique_ids:
+    if ids is None:
         profile = profile.withColumnRenamed("rows", "total_transactions")
     else:
-        ids = stg.groupBy("customer_id").agg(F.count_distinct("transaction_id").alias("total_transactions"))
         ids = ids.withColumnRenamed("customer_id", "counted_id")
         profile = profile.join(ids, F.col("customer_id").eqNullSafe(F.col("counted_id"))).drop("counted_id")
     idle = days_since(F.col("last_transaction_date"), as_of)
@@ -128,6 +135,15 @@ def dim_product(stg: DataFrame, unique_ids: bool = False) -> DataFrame:
         F.sum("price").alias("price_sum"),
         F.sum(F.col("quantity") * F.col("price")).alias("revenue"),
     )
+    ids = None
+    if not unique_ids:
+        ids = known.groupBy("product_id", "product_name").agg(F.count_distinct("transaction_id").alias("distinct_ids"))
+    return product_dimension(per_customer, ids)
+
+
+def product_dimension(per_customer: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """The products from one row per product, name and customer. `ids` has the distinct ids per product and name where
+    they differ from the rows."""
     stats = per_customer.groupBy("product_id", "product_name").agg(
         F.sum("ids").alias("total_transactions"),
         F.count("customer_id").alias("total_customers"),
@@ -135,8 +151,7 @@ def dim_product(stg: DataFrame, unique_ids: bool = False) -> DataFrame:
         F.sum("price_sum").alias("price_sum"),
         F.sum("revenue").alias("revenue"),
     )
-    if not unique_ids:
-        ids = known.groupBy("product_id", "product_name").agg(F.count_distinct("transaction_id").alias("distinct_ids"))
+    if ids is not None:
         same_product = (stats.product_id == ids.product_id) & stats.product_name.eqNullSafe(ids.product_name)
         stats = stats.join(ids, same_product).select(
             *[stats[name] for name in stats.columns if name != "total_transactions"],

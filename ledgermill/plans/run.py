@@ -159,6 +159,28 @@ def create_catalog(spark: SparkSession, layout: Layout) -> None:
         spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {select}")
 
 
+def publish(
+    warehouse: Warehouse, name: str, test_results: list[Row], fail_on_tests: bool = True, age: Row | None = None
+) -> None:
+    """The gate between the tables that a run has written and their readers.
+
+    A run becomes the current one when all its tests pass, or when told to go on, with a mark that names the failed
+    tests. Else it is noted as failed and raises; readers stay with the run before, as they do when the load is too old.
+    """
+    failed = [row for row in test_results if row.status == "fail"]
+    problems = [f"{row.table_name}.{row.column_name} {row.check_name}: {row.failures} failures" for row in failed]
+    for problem in problems:
+        log.error(problem)
+    reason = f"{len(failed)} of {len(test_results)} table tests failed" if failed and fail_on_tests else None
+    if age is not None and age.status == "error":
+        problems.append(f"the newest load is {age.age_hours} hours old")
+        reason = reason or problems[-1]
+    if reason:
+        warehouse.fail(name, problems)
+        raise checks.DataQualityError(reason)
+    warehouse.commit(name, problems)
+
+
 def current_layout(spark: SparkSession, root: str) -> Layout:
     """The tables of the last finished run."""
     return Warehouse(spark, root).current()
@@ -178,8 +200,8 @@ def run(
 ) -> RunResult:
     """A full rebuild of all layers. Only counts and report rows reach the driver.
 
-    The tables are written to a folder of this run, which becomes the current one after the last write; before that,
-    readers keep the tables of the run before. `fresh_within_hours` (warn, error) also checks the age of the
+    The tables are written to a folder of this run and tested there; then it becomes the current one (see `publish`).
+    Until then, readers keep the tables of the run before. `fresh_within_hours` (warn, error) also checks the age of the
     load. Time stamps are read and compared in UTC, whatever the session is set to.
     """
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -214,23 +236,16 @@ def _run(
     split = write_staging(spark, layout, id_type)
     log.info("clean rows: %d, rejected rows: %d", split.clean, split.rejected)
     repeated_ids = write_marts(spark, layout, as_of, id_type)
-    warehouse.commit(name)
-    if catalog:
-        create_catalog(spark, layout)
     tables = read_tables(spark, layout)
     known = {("stg_transactions", "unique", "transaction_id"): repeated_ids}
     test_results = checks.run_tests(tables, known=known).collect()
-    failed = [row for row in test_results if row.status == "fail"]
-    for row in failed:
-        log.error("%s.%s %s: %d failures", row.table_name, row.column_name, row.check_name, row.failures)
-    if failed and fail_on_tests:
-        raise checks.DataQualityError(f"{len(failed)} of {len(test_results)} table tests failed")
     age = None
     if fresh_within_hours:
         warn, error = fresh_within_hours
         age = checks.freshness(tables["customer_transactions_raw"], warn_hours=warn, error_hours=error).first()
-        if age.status == "error":
-            raise checks.DataQualityError(f"the newest load is {age.age_hours} hours old")
+    publish(warehouse, name, test_results, fail_on_tests, age)
+    if catalog:
+        create_catalog(spark, layout)
     fact = tables["fact_transactions"]
     flags = reports.flag_distribution(fact).collect()
     high = reports.high_flag_count(fact).first().high_issues

@@ -68,12 +68,12 @@ def has_row_keys() -> Column:
 DECIDING = ("transaction_id", "customer_id", "transaction_date", "quantity", "price", "tax")
 
 
-def flagged_rows(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
+def flagged_rows(raw: DataFrame, id_type: str = ID_TYPE, *others: str) -> DataFrame:
     """Every raw row with typed columns and flags, before rows are dropped and product fields filled.
 
     The deciding columns pass through a one-row inline. Otherwise the optimizer copies their parsing into the
     row filters above: every pattern would run twice, and the generated method would outgrow the size up to
-    which the JVM compiles it.
+    which the JVM compiles it. `others` are columns of raw to keep besides.
     """
     parsed = parsed_columns(id_type)
     # One select: the flags read the raw text, the typed columns take over the same names.
@@ -84,13 +84,14 @@ def flagged_rows(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
         *quality_flags(),
         "loaded_at",
         "source_file",
+        *others,
     )
     return rows.select(*parsed, *rows.columns[len(parsed) :])
 
 
-def base_transactions(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
+def base_transactions(raw: DataFrame, id_type: str = ID_TYPE, *others: str) -> DataFrame:
     # Rows without key text can be dropped by the scan, before any pattern is tried on them.
-    rows = flagged_rows(raw.where(has_row_keys()), id_type).where(has_row_keys())
+    rows = flagged_rows(raw.where(has_row_keys()), id_type, *others).where(has_row_keys())
     # Again one select: the name is filled from the parsed id, not from the id filled from the name.
     filled = {
         "product_id": F.coalesce("product_id", product_id_of(F.col("product_name"), id_type)),

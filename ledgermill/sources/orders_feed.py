@@ -13,7 +13,8 @@ def _money(total: Column, factor: str) -> Column:
     return (total.cast("decimal(15,2)") * F.lit(factor).cast("decimal(6,5)")).cast("decimal(12,2)").cast("string")
 
 
-def raw_from_orders(orders: DataFrame) -> DataFrame:
+def raw_from_orders(orders: DataFrame, *others: str) -> DataFrame:
+    """`others` are columns of orders to keep besides."""
     k = F.col("o_orderkey")
     number = k.cast("string")
     customer = F.col("o_custkey").cast("string")
@@ -39,6 +40,7 @@ def raw_from_orders(orders: DataFrame) -> DataFrame:
         F.when(k % 11 == 0, "Fifteen").otherwise(_money(F.col("o_totalprice"), "0.00005")).alias("tax"),
         F.lit(LOADED_AT).cast("timestamp").alias("loaded_at"),
         F.lit(SOURCE_FILE).alias("source_file"),
+        *others,
     )
 
 

@@ -46,14 +46,21 @@ def _problem(header: list[str]) -> Column:
     )
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False, keep_problems: bool = False) -> DataFrame:
-    """Rows of one CSV file or a folder of them, all columns as text, picked by header name.
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = False,
+    keep_problems: bool = False,
+    keep_path: bool = False,
+) -> DataFrame:
+    """Rows of one CSV file, a folder of them or a list of files, all columns as text, picked by header name.
 
     No types are inferred. The header names come from the first file only, so every other file is checked
     against them (`enforceSchema=False`): a file with other columns or another order fails the load instead of
     filling the wrong columns. `multi_line` allows newlines inside quotes, but then a file is not split, so
     leave it off for large files. `keep_problems` adds, for records without a certain or full reading, what is
-    wrong with them and their text; without it such records are read as far as they go.
+    wrong with them and their text; without it such records are read as far as they go. `keep_path` adds the file's
+    full path as `source_path`.
     """
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     header = spark.read.options(**options).csv(path).columns
@@ -69,6 +76,8 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False, keep_prob
     if keep_problems:
         whole = F.coalesce(F.col(LINE), F.concat_ws(",", *[F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in header]))
         extra = [_problem(header).alias(PROBLEM), whole.alias(LINE)]
+    if keep_path:
+        extra.append(F.col("_metadata.file_path").alias("source_path"))
     return rows.select(
         *[blank_to_null(F.col(name), NULL_TOKENS).alias(name) for name in RAW_COLUMNS],
         F.current_timestamp().alias("loaded_at"),
@@ -84,7 +93,9 @@ def rejected_lines(rows: DataFrame) -> DataFrame:
     )
 
 
-def load_raw(rows: DataFrame, path: str, rejected_path: str = "", on_malformed: str = FAIL) -> LoadCounts:
+def load_raw(
+    rows: DataFrame, path: str, rejected_path: str = "", on_malformed: str = FAIL, schema: T.StructType = RAW_SCHEMA
+) -> LoadCounts:
     """Writes the raw table. The counts are observed on the write itself: no second pass.
 
     Records with surplus fields or a broken quote are never written to it. With `on_malformed="fail"` they make the
@@ -104,7 +115,7 @@ def load_raw(rows: DataFrame, path: str, rejected_path: str = "", on_malformed:
         F.count_if(bad).alias("lines_rejected"),
     )
     written = (observed.where(~bad) if checked else observed).drop(PROBLEM, LINE)
-    require_schema(written, RAW_SCHEMA)
+    require_schema(written, schema)
     overwrite(written, path)
     found = LoadCounts(**counts.get)
     if found.lines_rejected and on_malformed == FAIL:

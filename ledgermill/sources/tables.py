@@ -50,15 +50,56 @@ class Layout:
     def dim_product(self) -> str:
         return f"{self.root}/marts/dim_product"
 
+    # What a refresh keeps about the shared store: the files it was loaded from, and the parts each month is made of.
+
+    @property
+    def files(self) -> str:
+        return f"{self.root}/manifest/files"
+
+    @property
+    def file_months(self) -> str:
+        return f"{self.root}/manifest/file_months"
+
+    @property
+    def months(self) -> str:
+        return f"{self.root}/manifest/months"
+
+    def work(self, name: str) -> str:
+        """A table that only this run reads."""
+        return f"{self.root}/work/{name}"
+
+
+@dataclass(frozen=True)
+class Store:
+    """Folders that all refreshes below a root share. They write new batches and parts into them and change none."""
+
+    root: str
+
+    def folder(self, table: str) -> str:
+        return f"{self.root}/store/{table}"
+
+
+PUBLISHED, PUBLISHED_WITH_FAILURES, FAILED, UNFINISHED = "published", "published with failures", "failed", "unfinished"
+
+
+@dataclass(frozen=True)
+class RunState:
+    name: str
+    state: str
+    problems: tuple[str, ...] = ()
+
 
 class Warehouse:
-    """Runs below one root. Each run writes a folder of its own, and becomes the current one by a marker file that is
-    created after its last write: readers see all tables of one run, and a run that fails changes nothing."""
+    """Runs below one root. Each run writes a folder of its own; its tables are tested there, and only then it becomes
+    the current one, by a marker file: readers see all tables of one run, and a run that breaks off or fails its tests
+    changes nothing. The marker of a run that is published in spite of failed tests says what failed. A failed run's
+    tables stay for inspection until the next one is published."""
 
     KEPT_RUNS = 2
 
     def __init__(self, spark: SparkSession, root: str):
         self.root = root.rstrip("/")
+        self._spark = spark
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._files = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -79,14 +120,50 @@ class Warehouse:
             raise FileNotFoundError(f"no finished run below {self.root}")
         return Layout(f"{self.root}/runs/{committed[-1]}")
 
-    def commit(self, name: str) -> None:
+    def _mark(self, folder: str, name: str, problems: Sequence[str]) -> None:
+        marker = self._files.create(self._path(f"{self.root}/{folder}/{name}"), False)
+        marker.writeBytes("\n".join(problems))
+        marker.close()
+
+    def fail(self, name: str, problems: Sequence[str]) -> None:
+        """Notes why the run is not published."""
+        self._mark("failed", name, problems)
+
+    def commit(self, name: str, problems: Sequence[str] = ()) -> None:
         """Makes the run current, and removes all older runs but the previous one, failed ones included."""
-        self._files.create(self._path(f"{self.root}/committed/{name}"), False).close()
+        self._mark("committed", name, problems)
         kept = self._names("committed")[-self.KEPT_RUNS :]
-        for folder in ("committed", "runs"):
+        for folder in ("committed", "failed", "runs"):
             for old in self._names(folder):
                 if old < name and old not in kept:
-                    self._files.delete(self._path(f"{self.root}/{folder}/{old}"), True)
+                    self.remove(f"{self.root}/{folder}/{old}")
+
+    def remove(self, folder: str) -> None:
+        self._files.delete(self._path(folder), True)
+
+    def states(self) -> list[RunState]:
+        """The runs below the root, oldest first, with what their markers say."""
+        committed, failed = self._names("committed"), self._names("failed")
+        out = []
+        for name in self._names("runs"):
+            folder = "committed" if name in committed else "failed" if name in failed else None
+            if folder is None:
+                out.append(RunState(name, UNFINISHED))
+                continue
+            lines = self._spark.read.text(f"{self.root}/{folder}/{name}").collect()
+            problems = tuple(line.value for line in lines if line.value)
+            state = FAILED if folder == "failed" else PUBLISHED_WITH_FAILURES if problems else PUBLISHED
+            out.append(RunState(name, state, problems))
+        return out
+
+    def kept_layouts(self) -> list[Layout]:
+        return [Layout(f"{self.root}/runs/{name}") for name in self._names("committed")]
+
+    def parts(self, folder: str) -> list[str]:
+        return self._names(folder)
+
+    def has(self, path: str) -> bool:
+        return self._files.exists(self._path(path))
 
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -4,22 +4,33 @@ Time stamps of the run itself are left out of the results, and decimal ratios ar
 every column can be compared with another engine.
 """
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.operators import month_cells
 from ledgermill.operators.issues import issue_log
 from ledgermill.operators.keys import keys_without_parent, repeated_keys, rows_without_parent
 from ledgermill.operators.running_total import with_running_total
 from ledgermill.plans import checks, marts, reports, staging
-from ledgermill.plans.run import read_tables, write_marts, write_staging
+from ledgermill.plans.refresh import MONTHS_SCHEMA, refresh, stored
+from ledgermill.plans.run import publish, read_audit, read_staging, read_tables, write_marts, write_staging
 from ledgermill.schemas import RAW_COLUMNS
-from ledgermill.sources.orders_feed import read_raw_from_orders
+from ledgermill.sources.orders_feed import raw_from_orders, read_raw_from_orders
 from ledgermill.sources.raw_csv import QUARANTINE, load_raw, read_csv
-from ledgermill.sources.tables import ROW_HANDLE, Layout, overwrite, read_table, shared_folder, with_row_handle
+from ledgermill.sources.tables import (
+    ROW_HANDLE,
+    Layout,
+    Warehouse,
+    overwrite,
+    read_table,
+    shared_folder,
+    with_row_handle,
+)
 
 AS_OF = dt.date(2001, 8, 2)
 EVENTS_AS_OF = dt.datetime(2024, 2, 1)
@@ -195,8 +206,11 @@ def audit_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    fact = marts.fact_transactions(stg(spark, folder)).drop("processed_at", "created_at")
-    return fact.withColumns(
+    return comparable_fact(marts.fact_transactions(stg(spark, folder)))
+
+
+def comparable_fact(fact: DataFrame) -> DataFrame:
+    return fact.drop("processed_at", "created_at").withColumns(
         {
             "tax_percentage": F.round(F.col("tax_percentage").cast("double"), 6),
             "customer_cumulative_spend": F.col("customer_cumulative_spend").cast("decimal(38,4)"),
@@ -366,13 +380,176 @@ def dq_issues(spark: SparkSession, folder: str) -> DataFrame:
     return issue_log(raw(spark, folder)).drop("issue_id", "discovered_at")
 
 
+# --- publication and refreshes ---------------------------------------------------------------------------
+
+
+def publication_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs through the gate: good rows, repeated ids, and repeated ids that are let through. After each, what its
+    marker says and how many rows readers see."""
+    root = shared_folder(spark, "publication")
+    warehouse, out = Warehouse(spark, root), []
+    tests = [
+        checks.TableTest("stg_transactions", "unique", "transaction_id"),
+        checks.TableTest("stg_transactions", "not_null", "customer_id"),
+    ]
+    good = raw(spark, folder)
+    bad = good.unionAll(good.where(F.col("transaction_id").endswith("1")))
+    for step, rows, keep_going in ((1, good, False), (2, bad, False), (3, bad, True)):
+        name, layout = warehouse.new_run()
+        load_raw(rows, layout.raw)
+        write_staging(spark, layout)
+        results = checks.run_tests({"stg_transactions": read_staging(spark, layout)}, tests).collect()
+        with contextlib.suppress(checks.DataQualityError):
+            publish(warehouse, name, results, fail_on_tests=not keep_going)
+        state = next(s for s in warehouse.states() if s.name == name)
+        visible = read_staging(spark, warehouse.current())
+        out.append(visible.agg(F.count(F.lit(1)).alias("visible_rows"), F.count_distinct("transaction_id").alias("visible_ids")))
+        out[-1] = common_columns(out[-1], step=step, state=state.state, problems=len(state.problems))
+    return out[0].unionAll(out[1]).unionAll(out[2])
+
+
+def common_columns(df: DataFrame, **values: int | str) -> DataFrame:
+    return df.select(*[F.lit(value).alias(name) for name, value in values.items()], "*")
+
+
+# The parts in which the transactions arrive as files.
+STRAY_MONTH, LATE_MONTH, WRONG_YEAR, NEW_FROM = 199503, 199605, 1998, "2001-07-16"
+
+
+def _arrivals(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Raw rows with the file they come in, for the first load and for the third: a file per year, of which one first
+    lacks prices, a stray copy of a month that goes away, late rows of a month, and the newest days."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    day, key = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    month = F.year(day) * 100 + F.month(day)
+    arrival = (
+        F.when(day >= F.lit(NEW_FROM).cast("date"), "new")
+        .when((month == LATE_MONTH) & (key % 5 == 2), "late")
+        .otherwise(F.year(day).cast("string"))
+    )
+
+    def lines(rows: DataFrame, file: Column) -> DataFrame:
+        marks = rows.select("*", file.alias("file"), (key % 3 == 0).alias("third"), (month == STRAY_MONTH).alias("stray"))
+        return raw_from_orders(marks, "file", "third", "stray").drop("loaded_at", "source_file")
+
+    final = lines(orders, arrival)
+    no_price = (F.col("file") == str(WRONG_YEAR)) & F.col("third")
+    first = final.where(~F.col("file").isin("new", "late"))
+    first = first.withColumn("price", F.when(no_price, "pending").otherwise(F.col("price")))
+    other_id = F.when(F.col("transaction_id").startswith("T"), F.col("transaction_id"))
+    other_id = other_id.otherwise(F.concat(F.lit("77000000"), F.lpad("transaction_id", 10, "0")))
+    copies = final.where("stray").withColumns({"transaction_id": other_id, "file": F.lit("stray")})
+    return first.unionByName(copies), final
+
+
+def _put_files(spark: SparkSession, rows: DataFrame, target: str) -> None:
+    """One CSV file per value of `file`, in the place of an older one of that name."""
+    staged = shared_folder(spark, "arrivals")
+    files = rows.select(*RAW_COLUMNS, "file").repartition("file")
+    files.write.partitionBy("file").option("header", True).csv(staged)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    system = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(target))
+    for status in system.listStatus(path(staged)):
+        name = status.getPath().getName()
+        if name.startswith("file="):
+            (part,) = [x.getPath() for x in system.listStatus(status.getPath()) if x.getPath().getName().endswith(".csv")]
+            place = path(f"{target}/{name.partition('=')[2]}.csv")
+            system.delete(place, False)
+            system.rename(part, place)
+
+
+_refreshed: dict[tuple[str, str], tuple[str, list[DataFrame]]] = {}
+
+
+def refreshed(spark: SparkSession, folder: str) -> tuple[str, list[DataFrame]]:
+    """A root after three refreshes (all files, nothing new, all kinds of changes), and the tables of files and months of
+    each. The queries of one application that read it share it."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _refreshed:
+        place, root = shared_folder(spark, "files"), shared_folder(spark, "refreshed")
+        first, final = _arrivals(spark, folder)
+        seen = []
+        for load in (1, 2, 3):
+            if load == 1:
+                _put_files(spark, first, place)
+            elif load == 3:
+                _put_files(spark, final.where(F.col("file").isin("new", "late", str(WRONG_YEAR))), place)
+                stray = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{place}/stray.csv")
+                stray.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(stray, False)
+            result = refresh(spark, place, root, AS_OF, fail_on_tests=False)
+            now = stored(spark, root)
+            files = now.files.groupBy("state").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("row_count"))
+            months = spark.createDataFrame(now.months, MONTHS_SCHEMA)
+            months = months.groupBy("month", "change").agg(F.sum("rows").alias("row_count"), F.count(F.lit(1)).alias("parts"))
+            counts = {"load": load, "rows_read": result.loaded.rows_loaded}
+            for name, table in (("load-files", files), ("load-months", months)):
+                path = shared_folder(spark, name)
+                overwrite(common_columns(table, **counts), path)
+                seen.append(read_table(spark, path))
+        _refreshed[known] = root, seen
+    return _refreshed[known]
+
+
+def refresh_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What each load found: files by state with their rows, and the rows it read."""
+    _, seen = refreshed(spark, folder)
+    return seen[0].unionAll(seen[2]).unionAll(seen[4])
+
+
+def refresh_months(spark: SparkSession, folder: str) -> DataFrame:
+    """What each load did to every month."""
+    _, seen = refreshed(spark, folder)
+    return seen[1].unionAll(seen[3]).unionAll(seen[5]).drop("rows_read")
+
+
+def refresh_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw rows after all loads: those of the files as they are now."""
+    root, _ = refreshed(spark, folder)
+    return stored(spark, root).tables()["customer_transactions_raw"].select(*RAW_COLUMNS)
+
+
+def refresh_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact after all loads, with running totals carried over the months."""
+    root, _ = refreshed(spark, folder)
+    return comparable_fact(stored(spark, root).fact())
+
+
+def refresh_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """From the stored cells: no fact row is read."""
+    root, _ = refreshed(spark, folder)
+    return month_cells.monthly_revenue(stored(spark, root).cells())
+
+
+def refresh_dim_product(spark: SparkSession, folder: str) -> DataFrame:
+    root, _ = refreshed(spark, folder)
+    return stored(spark, root).tables()["dim_product"].drop("created_at")
+
+
+def refresh_run_summary(spark: SparkSession, folder: str) -> DataFrame:
+    root, _ = refreshed(spark, folder)
+    return month_cells.run_summary(stored(spark, root).cells())
+
+
 # --- reports ---------------------------------------------------------------------------------------------
 
 
 def layer_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Over the written tables."""
-    tables, _ = stored_tables(spark, folder)
-    return reports.layer_row_counts({name: tables[name] for name in tables if name != "dq_issues"})
+    """Over staging as it is written, and the marts that follow from it."""
+    layout = Layout(shared_folder(spark, "warehouse"))
+    load_raw(raw(spark, folder), layout.raw)
+    write_staging(spark, layout)
+    rows = read_staging(spark, layout)
+    tables = {
+        "customer_transactions_raw": read_table(spark, layout.raw),
+        "stg_transactions": rows,
+        "audit_transactions": read_audit(spark, layout),
+        "fact_transactions": marts.fact_rows(rows),
+        "dim_customer": marts.dim_customer(rows, AS_OF),
+        "dim_product": marts.dim_product(rows),
+    }
+    return reports.layer_row_counts(tables)
 
 
 def sample_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -492,6 +669,14 @@ QUERIES: dict[str, Query] = {
         named_checks,
         sql_checks,
         dq_flag_summary,
+        publication_states,
+        refresh_files,
+        refresh_months,
+        refresh_raw,
+        refresh_fact,
+        refresh_monthly_revenue,
+        refresh_dim_product,
+        refresh_run_summary,
         dq_issues,
         dq_issue_count,
         issues_by_type,
