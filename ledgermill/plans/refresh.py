@@ -21,6 +21,7 @@ import logging
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -89,10 +90,12 @@ def _new_fact_rows(parsed: DataFrame) -> DataFrame:
     return marts.fact_rows(clean, *HANDLE)
 
 
+@lru_cache(maxsize=4)
 def _parsed_schema(spark: SparkSession, id_type: str) -> T.StructType:
     return _parsed(spark.createDataFrame([], RAW_BATCH_SCHEMA), id_type).schema
 
 
+@lru_cache(maxsize=4)
 def _fact_schema(spark: SparkSession, id_type: str) -> T.StructType:
     rows = _new_fact_rows(spark.createDataFrame([], _parsed_schema(spark, id_type)))
     return T.StructType(
@@ -104,6 +107,11 @@ def _fact_schema(spark: SparkSession, id_type: str) -> T.StructType:
     )
 
 
+@lru_cache(maxsize=4)
+def _cells_schema(spark: SparkSession, id_type: str) -> T.StructType:
+    return month_cells.cells(spark.createDataFrame([], _fact_schema(spark, id_type))).schema
+
+
 def _parts(spark: SparkSession, store: Store, table: str, months: list[Row], schema: T.StructType) -> DataFrame:
     """Rows of some months' parts."""
     root = store.folder(table)
@@ -163,7 +171,7 @@ class Stored:
         return rows.select(*FACT_COLUMNS)
 
     def cells(self, months: list[Row] | None = None) -> DataFrame:
-        schema = month_cells.cells(self.spark.createDataFrame([], _fact_schema(self.spark, self.id_type))).schema
+        schema = _cells_schema(self.spark, self.id_type)
         return _parts(self.spark, self.store, "cells", self.months if months is None else months, schema)
 
     def tables(self) -> dict[str, DataFrame]:
