@@ -6,7 +6,8 @@ at most one stage.
 
 1. quality_rules: failing lines are removed; documents that fail the rules or lose too much are dropped.
 2. near_dedup: of each group of near-copies (80 % or more of their runs of five words shared) the document with the
-   smallest id stays. Documents without id stay.
+   smallest id stays. Each row is a document of its own: rows that repeat an id are judged by their texts, and of
+   copies under one id, or without any, one stays. NULL ids come last. Texts without words stay.
 3. substring_dedup: runs of 50 words that start in an earlier document are cut out. Documents stay, if only as ''.
 4. mixing: documents are sampled to tempered shares of source, language and form; empty documents are never drawn.
 5. packing: the sample becomes pieces placed in sequences of at most 2048 tokens.
@@ -51,10 +52,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = near_copies(docs.select("doc_id", "text"), percent=SIMILAR_PERCENT)
-    dropped = judged.where("NOT kept").select("doc_id").distinct()
-    dropped = common.saved(dropped.withColumnRenamed("doc_id", "dropped_id"), "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    plain, names = _plain(docs)
+    numbered = common.saved(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    judged = near_copies(numbered.select("row", names["text"]), "row", names["text"], percent=SIMILAR_PERCENT)
+    members = judged.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    members = common.saved(members.join(numbered.select("row", F.col(names["doc_id"]).alias("id")), "row"), "members")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
+    stays = common.saved(members.groupBy("group").agg(first.alias("first")).select("group", "first.row"), "stays")
+    goes = members.join(stays.withColumnRenamed("row", "stays"), "group").where("row != stays").select("row")
+    return numbered.join(common.saved(goes, "goes"), "row", "left_anti").select(*names.values()).toDF(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
