@@ -14,13 +14,13 @@ def shingles(text):
     return frozenset(tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4)))
 
 
-def brute_force(texts):
+def brute_force(texts, percent=85):
     """The component of each row; rows with the same set are a node named by the smallest id."""
     node = {}
     for i, t in texts:
         if i is not None and shingles(t):
             node[shingles(t)] = min(node.get(shingles(t), i), i)
-    links = [(node[x], node[y]) for x in node for y in node if 100 * len(x & y) >= 85 * len(x | y)]
+    links = [(node[x], node[y]) for x in node for y in node if 100 * len(x & y) >= percent * len(x | y)]
     component = helpers.components(sorted(node.values()), links)
     return [i if i is None or not shingles(t) else component[node[shingles(t)]] for i, t in texts]
 

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from tests.llm import helpers, test_pipeline
+from tests.llm import helpers
 from tests.llm.test_near_copies import shingles
 
 
@@ -25,15 +25,19 @@ def test_near_copies_from_80_percent_on_are_dropped(spark, tmp_path):
     assert sorted(r.doc_id for r in got.collect()) == sorted(i for i in sets if component[i] == i)
 
 
-def test_all_stages_against_plain_versions_at_80_percent(spark, tmp_path, monkeypatch):
-    def at_80(texts):
-        node = {}
-        for i, t in texts:
-            if i is not None and shingles(t):
-                node[shingles(t)] = min(node.get(shingles(t), i), i)
-        links = [(node[x], node[y]) for x in node for y in node if 100 * len(x & y) >= 80 * len(x | y)]
-        component = helpers.components(sorted(node.values()), links)
-        return [i if i is None or not shingles(t) else component[node[shingles(t)]] for i, t in texts]
+def test_rows_of_one_id_are_documents_of_their_own(spark, tmp_path):
+    a, z, q = ("one two three four five six seven eight nine", "other words that nobody else has at all", "short text")
+    texts = [(1, a), (2, a), (2, z), (3, q), (4, z), (4, z), (None, q), (None, None), (None, ""), (5, "")]
+    docs = helpers.documents(spark, texts)
+    got = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert got.dtypes == docs.dtypes
+    kept = sorted((str(r.doc_id), str(r.text)) for r in got.collect())
+    want = [(1, a), (2, z), (3, q), (None, None), (None, ""), (5, "")]
+    assert kept == sorted((str(i), str(t)) for i, t in want)
 
-    monkeypatch.setattr(test_pipeline, "components", at_80)
-    test_pipeline.test_stages_against_plain_versions(spark, tmp_path)
+
+def test_copies_under_one_id_leave_one(spark, tmp_path):
+    near = ["w%d" % i for i in range(60)]
+    texts = [(7, " ".join(near)), (7, " ".join(near)), (7, " ".join([*near[:59], "x"])), (6, "quite another text of six words")]
+    got = corpus_pipeline.near_dedup(spark, helpers.documents(spark, texts), str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == [6, 7]
