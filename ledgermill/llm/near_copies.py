@@ -127,13 +127,15 @@ def near_copies(
     )
     sketch = common.saved(sketch, "sketch")
     usable = sketch.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = usable.groupBy("k1", "k2").agg(F.min("id").alias("node"))
+    # What is counted per key is written before it is joined to the rows it was counted from: Spark splits a hot key of a
+    # join only where no aggregate shares the join's stage.
+    classes = common.saved(usable.groupBy("k1", "k2").agg(F.min("id").alias("node")), "classes")
     members = common.saved(sketch.select("id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left"), "members")
 
     nodes = usable.join(members.where("id = node").select("k1", "k2", "node").distinct(), ["k1", "k2"])
     nodes = common.saved(nodes.where("id = node").select("node", "k1", "n_shingles", "signature").distinct(), "nodes")
     tokens = nodes.select("node", "k1", F.posexplode("signature").alias("at", "value"))
-    shared = tokens.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = common.saved(tokens.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     lists = tokens.join(shared, ["at", "value"]).groupBy("node", "k1")
     lists = lists.agg(F.sort_array(F.collect_list(F.struct("n", "at", "value"))).alias("lists"))
     prefix = F.slice("lists", 1, F.size("lists") - (t - 1))
@@ -197,7 +199,8 @@ def near_copies(
         ends = placed.groupBy("at", "value").agg(
             F.min("part").alias("low"), F.max("part").alias("high"), F.min("size").alias("least")
         )
-        placed = placed.join(ends.where("low < high"), ["at", "value"])
+        ends = common.saved(ends.where("low < high"), "ends")
+        placed = placed.join(ends, ["at", "value"])
         placed = placed.where(f"100 * common >= {percent} * (size + least - least(common, least))")
         placed = common.saved(placed.drop("low", "high", "least"), "placed")
         per_part = placed.groupBy("at", "value", "part").agg(F.count(F.lit(1)).cast("double").alias("n"))

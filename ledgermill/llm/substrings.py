@@ -170,12 +170,16 @@ def repeated_spans(docs: DataFrame, id_column: str, text: str, window: int, gram
     )
     schema = "id bigint, t int, start int, n int, anchor bigint, block bigint"
     blocks = common.saved(common.map_arrow(texts, lambda batches: _blocks(batches, window, gram), schema), "blocks")
+    # What is counted per key is written before it is joined to the rows it was counted from: Spark splits a hot key of a
+    # join only where no aggregate shares the join's stage.
     spread = blocks.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = blocks.join(spread.where("low < high"), "anchor", "left_semi")
+    spread = common.saved(spread.where("low < high").select("anchor"), "spread")
+    shared = blocks.join(spread, "anchor", "left_semi")
     shared = common.saved(shared, "shared")
     index = common.saved(shared.groupBy("anchor", "block").agg(F.min("id").alias("reference")), "index")
     factors = common.saved(shared.join(index, ["anchor", "block"]).drop("block"), "factors")
     several = index.groupBy("anchor").agg(F.count(F.lit(1)).alias("blocks")).where("blocks > 1")
+    several = common.saved(several.select("anchor"), "several")
     edges = factors.where("id = reference").join(several, "anchor", "left_semi")
     edges = edges.groupBy("id").agg(F.collect_list(F.struct("t", "start", "n", "anchor")).alias("blocks"))
     windows = common.map_arrow(
@@ -185,7 +189,8 @@ def repeated_spans(docs: DataFrame, id_column: str, text: str, window: int, gram
     )
     windows = common.saved(windows, "windows")
     earliest = windows.groupBy("anchor", "hash").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    late = windows.join(earliest.where("low < high"), ["anchor", "hash"]).where("id > low")
+    earliest = common.saved(earliest.where("low < high"), "earliest")
+    late = windows.join(earliest, ["anchor", "hash"]).where("id > low")
 
     def packed(start: str, end: str):
         return F.expr(f"shiftleft(cast({start} as bigint), 32) + {end}").alias("span")
