@@ -69,9 +69,9 @@ class RunningTotal:
 class Chunks:
     """Marks rows with the chunk they belong to. The lists that decide it are made from `source` once."""
 
-    def __init__(self, source: DataFrame, spec: RunningTotal, rows: int):
+    def __init__(self, source: DataFrame, spec: RunningTotal, rows: int | None = None):
         self.spec = spec
-        self.hot_rows, self.chunk_rows = spec.limits(rows)
+        self.hot_rows, self.chunk_rows = spec.limits(source.count() if rows is None else rows)
         self.hot = None
         narrow = source.select(*self._needed(source))
         if self.hot_rows:

@@ -86,7 +86,8 @@ def test_recent_spend_skips_old_months(spark, stored):
 
 
 def test_fact_shuffles_its_rows_once_per_window(spark, stored, no_small_tables):
-    fact = marts.fact_transactions(stored[1]["stg_transactions"])
+    cut = marts.customer_spend(chunk_rows=10), marts.product_quantity(chunk_rows=10)
+    fact = marts.fact_transactions(stored[1]["stg_transactions"], *cut)
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Window [sum(total_amount") == plan.count("Window [sum(quantity") == 1
     # Sorted merge joins take the windows as they are: the line below each join is the window itself.
@@ -96,6 +97,12 @@ def test_fact_shuffles_its_rows_once_per_window(spark, stored, no_small_tables):
     assert all("Window [sum(" in line for line in below)
 
 
+def test_a_table_within_a_chunk_needs_no_offsets(spark, stored, no_small_tables):
+    plan = plan_of(marts.fact_transactions(stored[1]["stg_transactions"]))
+    assert plan.count("Window [sum(total_amount") == plan.count("Window [sum(quantity") == 1
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
 def test_dimensions_copy_no_rows(spark, stored):
     stg = stored[1]["stg_transactions"]
     for dim in (marts.dim_customer(stg), marts.dim_product(stg), marts.dim_customer(stg, unique_ids=True)):
