@@ -2,20 +2,23 @@
 
 1. Examples are a bounded sample of the labelled rows: per class the `per_class` rows whose ids have the smallest hashes.
 2. Terms are words (A-Z lower-cased, outer punctuation dropped) and beginnings of longer words, so that
-   inflected forms meet. The `terms` terms whose presence in examples tells most about the label make the vector space;
-   terms that chance alone could give among so many are left out.
-3. One pass over all texts gives each document's term counts; document frequencies are summed over all documents.
-4. Examples are sorted and cut into blocks of BLOCK; each term keeps the highest weight that it has in each block. A
-   document visits blocks in order of their bound on the cosine and stops when the bound is below the k-th best, so its
-   k nearest examples are exact.
-5. Votes are weighted by cosine and by the share of all labelled rows that an example stands for. A monotone table maps
-   votes to frequencies of the label; it is fitted on the examples' own votes, each without itself.
+   inflected forms meet. There are two vector spaces. The telling one has the `terms` terms whose presence in examples
+   tells most about the label, without those that chance alone could give among so many. The whole one has all terms of
+   the examples that hold no telling term: at most `general` per class, each of at most `example_bytes` of text.
+3. One pass over all texts sums document frequencies of both.
+4. In each space examples are sorted and cut into blocks of BLOCK; each term keeps the highest weight that it has in each
+   block. A document visits blocks in order of their bound on the cosine and stops when the bound is below the k-th best,
+   so its k nearest examples are exact. Texts with a telling term are searched there, all others over the whole space.
+5. Votes are weighted by cosine and by the share of all labelled rows that an example stands for. A monotone table per
+   space maps votes to frequencies of the label; it is fitted on the examples' own votes, each without itself.
 
 Defined results: NULL, empty and other texts without a term get the frequency among such examples. Examples at equal
-distance are taken by id. Rows that repeat an id are scored each; of labels that repeat an id, each counts. Rows without
-id or label are no examples. With no examples the score is 0.5 / 1. Other columns are not read.
+distance are taken by id. Rows that repeat an id are scored each; as an example, such an id has its shortest text. Labels
+that repeat an id and label count once. Rows without id or label are no examples. With no examples the score is 0.5.
+Other columns are not read.
 """
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from math import log
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm import common
 
 BLOCK = 512
-#: Scored vectors that a Python worker remembers; copies and texts with one or two terms repeat them.
+#: Digests of scored vectors that a Python worker remembers; copies and texts with one or two terms repeat them.
 REMEMBERED = 50_000
 EDGES = b".,;:!?\"'()[]{}*#$%&|<>-_"
 #: Lengths in bytes of the beginnings of words that are terms too.
@@ -57,31 +60,34 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column("label").take(row), terms], names=["label", "term"])
 
 
-def _vectors(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
-    """Numbers and counts of the known terms of each text."""
-    get = known.value.get
+def _numbers(text: bytes, get) -> dict[int, int]:
+    """Numbers and counts of the known terms of a lower-cased text."""
+    own: dict[int, int] = {}
+    for word, n in Counter(text.split()).items():
+        word = word.strip(EDGES)
+        at = get(word)
+        if at is not None:
+            own[at] = own.get(at, 0) + n
+        for stem in STEMS:
+            if len(word) <= stem:
+                break
+            at = get(b"^" + word[:stem])
+            if at is not None:
+                own[at] = own.get(at, 0) + n
+    return own
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    """Per task: the texts that hold each known term, and at the end the number of all texts."""
+    known = sent.value
+    counts = np.zeros(len(known) + 1, dtype=np.int64)
     for batch, texts in common.row_blocks(batches):
         texts = texts.lower()
-        numbers, times, ends = [], [], [0]
         for i in range(batch.num_rows):
-            own: dict[int, int] = {}
-            for word, n in Counter(texts.text(i).split()).items():
-                word = word.strip(EDGES)
-                at = get(word)
-                if at is not None:
-                    own[at] = own.get(at, 0) + n
-                for stem in STEMS:
-                    if len(word) <= stem:
-                        break
-                    at = get(b"^" + word[:stem])
-                    if at is not None:
-                        own[at] = own.get(at, 0) + n
-            numbers += own
-            times += own.values()
-            ends.append(len(numbers))
-        ends = pa.array(ends, type=pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(x, type=pa.int32())) for x in (numbers, times)]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), *lists], names=["id", "terms", "times"])
+            counts[list(_numbers(texts.text(i), known.get))] += 1
+        counts[-1] += batch.num_rows
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["term", "n"])
 
 
 class Index:
@@ -98,37 +104,34 @@ class Index:
         self.vectors = [x[0] for x in found]
         blocks = -(-len(found) // BLOCK)
         self.highest = np.zeros((len(idf), blocks))
-        self.lists: list[dict[int, tuple[np.ndarray, np.ndarray]]] = []
+        self.lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # per block: first entry of each term, entries
         for b in range(blocks):
-            lists: dict[int, list[tuple[int, float]]] = {}
-            for at, (terms, values) in enumerate(self.vectors[b * BLOCK : (b + 1) * BLOCK]):
-                for term, value in zip(terms.tolist(), values.tolist(), strict=True):
-                    lists.setdefault(term, []).append((at, value))
-            self.lists.append({t: (np.array([x for x, _ in v]), np.array([x for _, x in v])) for t, v in lists.items()})
-            for term, v in lists.items():
-                self.highest[term, b] = max(x for _, x in v)
+            own = self.vectors[b * BLOCK : (b + 1) * BLOCK]
+            terms = np.concatenate([t for t, _ in own])
+            order = np.argsort(terms, kind="stable")
+            weights = np.concatenate([v for _, v in own])[order]
+            places = np.repeat(np.arange(len(own)), [len(t) for t, _ in own])[order]
+            self.lists.append((np.searchsorted(terms[order], np.arange(len(idf) + 1)), places, weights))
+            np.maximum.at(self.highest[:, b], terms[order], weights)
         self.table = (np.zeros(1), np.full(1, 0.5))
         self.without_terms = 0.5
 
     def vector(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        values = (1 + np.log(np.maximum(times, 1))) * self.idf[terms]
+        values = (1 + np.log(np.maximum(times, 1))) * self.idf[terms.astype(np.int64)]
         length = np.sqrt((values * values).sum())
         return terms, values / length if length else values
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples with a cosine above 0."""
         bounds = values @ self.highest[terms]
-        pairs = list(zip(terms.tolist(), values.tolist(), strict=True))
         places, cosines, kth = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
         for b in np.argsort(-bounds, kind="stable").tolist():
             if bounds[b] <= 0 or (len(places) == k and bounds[b] < kth - 1e-12):
                 break
-            own = np.zeros(BLOCK)
-            lists = self.lists[b]
-            for term, value in pairs:
-                if term in lists:
-                    at, weight = lists[term]
-                    own[at] += value * weight
+            first, entries, weights = self.lists[b]
+            low, sizes = first[terms], first[terms + 1] - first[terms]
+            at = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            own = np.bincount(entries[at], np.repeat(values, sizes) * weights[at], BLOCK)
             if 0 <= without - b * BLOCK < BLOCK:
                 own[without - b * BLOCK] = 0
             hit = np.flatnonzero(own > max(0.0, kth - 1e-12))
@@ -184,21 +187,21 @@ class Index:
 
 
 def _score(batches: Iterator[pa.RecordBatch], sent, k: int) -> Iterator[pa.RecordBatch]:
-    index: Index = sent.value
-    seen: dict[tuple[bytes, bytes], tuple[float, list[int]]] = {}
-    for batch in batches:
-        lists = [batch.column(name) for name in ("terms", "times")]
-        offsets = lists[0].offsets.to_numpy()
-        terms, times = (x.values.to_numpy() for x in lists)
+    known, telling, whole = sent.value
+    seen: dict[bytes, tuple[float, list[int]]] = {}
+    for batch, texts in common.row_blocks(batches):
+        texts = texts.lower()
         scores, evidence = [], []
-        for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            order = np.argsort(terms[low:high])
-            own = index.vector(terms[low:high][order], times[low:high][order])
-            key = (own[0].tobytes(), own[1].tobytes())
+        for i in range(batch.num_rows):
+            own = _numbers(texts.text(i), known.get)
+            told = {at: n for at, n in own.items() if at < len(telling.idf)}
+            index, low = (telling, 0) if told else (whole, len(telling.idf))
+            found = np.array(sorted((told or own).items()), dtype=np.int64).reshape(-1, 2)
+            key = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
             if key not in seen:
                 if len(seen) >= REMEMBERED:
                     seen.clear()
-                seen[key] = index.judged(*own, k)
+                seen[key] = index.judged(*index.vector(found[:, 0] - low, found[:, 1]), k)
             score, ids = seen[key]
             scores.append(score)
             evidence.append(ids)
@@ -208,6 +211,34 @@ def _score(batches: Iterator[pa.RecordBatch], sent, k: int) -> Iterator[pa.Recor
         )
 
 
+def _telling_terms(examples: DataFrame, pos: int, neg: int, terms: int, chance: float) -> list[bytes]:
+    """The terms whose presence in examples tells most about the label, at most `terms`."""
+    if not pos or not neg:
+        return []
+    found = common.map_arrow(examples.select("label", "text"), _example_terms, "label int, term binary")
+    found = found.groupBy("term").agg(F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b"))
+    found = common.saved(found, "terms")
+    # Evidence of each term against chance, as the exponent of a bound on its probability; a term counts if
+    # chance would make one as telling among all terms with a probability of at most `chance`.
+    a, b, share = F.col("a").cast("double"), F.col("b").cast("double"), pos / (pos + neg)
+    part = [F.when(x > 0, x * F.log(x / (a + b) / F.lit(q))).otherwise(0.0) for x, q in ((a, share), (b, 1 - share))]
+    found = found.withColumn("tie", part[0] + part[1]).where(F.octet_length("term") <= 64)
+    found = found.where(F.col("tie") >= F.lit(log(max(1, found.count()) / chance)))
+    return [bytes(row["term"]) for row in found.orderBy(F.desc("tie"), "term").limit(terms).select("term").collect()]
+
+
+def _example_vectors(batches: Iterator[pa.RecordBatch], known: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    for batch, texts in common.row_blocks(batches):
+        texts = texts.lower()
+        found = [_numbers(texts.text(i), known.get) for i in range(batch.num_rows)]
+        lists = [pa.array([list(f) for f in found]), pa.array([list(f.values()) for f in found])]
+        lists = [x.cast(pa.list_(pa.int64())) for x in lists]
+        sizes = pa.array(np.diff(texts.bounds))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("label"), *lists, sizes], names=["id", "label", "terms", "times", "size"]
+        )
+
+
 def neighbour_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -217,56 +248,70 @@ def neighbour_scores(
     terms: int = 2048,
     chance: float = 0.01,
     k: int = 15,
+    general: int = 512,
+    example_bytes: int = 65_536,
 ) -> DataFrame:
     """One row per row of docs: doc_id, score (0 to 1) and evidence (ids of the three nearest examples). `labels`
     has id and label (0/1), rows to learn from only."""
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    labels = labels.where("id IS NOT NULL AND label IN (0, 1)")
+    labels = labels.where("id IS NOT NULL AND label IN (0, 1)").select("id", "label").distinct()
     classes = {row["label"]: row["n"] for row in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = None
-    for label in sorted(classes):
-        part = labels.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class)
-        sample = part if sample is None else sample.unionAll(part)
-    examples: list = []
-    chosen: list = []
-    if sample is not None:
-        sample = F.broadcast(common.saved(sample.select("id", "label"), "sample"))  # at most 2 * per_class rows
-        found = common.map_arrow(source.join(sample, "id").select("text", "label"), _example_terms, "label int, term binary")
-        found = found.groupBy("term").agg(F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b"))
-        sizes = {label: min(n, per_class) for label, n in classes.items()}
-        pos, neg = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-        found = common.saved(found, "terms")
-        if pos and neg:
-            # Evidence of each term against chance, as the exponent of a bound on its probability; a term counts if
-            # chance would make one as telling among all terms with a probability of at most `chance`.
-            a, b, share = F.col("a").cast("double"), F.col("b").cast("double"), pos / (pos + neg)
-            part = [F.when(x > 0, x * F.log(x / (a + b) / F.lit(q))).otherwise(0.0) for x, q in ((a, share), (b, 1 - share))]
-            found = found.withColumn("tie", part[0] + part[1]).where(F.octet_length("term") <= 64)
-            found = found.where(F.col("tie") >= F.lit(log(max(1, found.count()) / chance)))
-            rows = found.orderBy(F.desc("tie"), "term").limit(terms).select("term").collect()
-            chosen = [bytes(row["term"]) for row in rows]
-    known = spark.sparkContext.broadcast({term: i for i, term in enumerate(chosen)})
-    kind = "id bigint, terms array<int>, times array<int>"
-    vectors = common.saved(common.map_arrow(source, lambda batches: _vectors(batches, known), kind), "vectors")
-    n_docs = vectors.count()
-    frequency = np.zeros(len(chosen))
-    for row in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
-        frequency[row["t"]] = row["n"]
-    idf = np.array([log((1 + n_docs) / (1 + n)) + 1 for n in frequency])
-    if sample is not None:
-        examples = vectors.join(sample, "id").orderBy("id").collect()
-    stands_for = {label: classes[label] / max(1, sum(row["label"] == label for row in examples)) for label in classes}
-    index = Index(
-        idf,
-        [row["id"] for row in examples],
-        np.array([row["label"] for row in examples], dtype=np.float64),
-        np.array([stands_for[row["label"]] for row in examples], dtype=np.float64),
-        [(np.array(row["terms"], dtype=np.int64), np.array(row["times"], dtype=np.float64)) for row in examples],
-    )
-    index.calibrate(k)
-    sent = spark.sparkContext.broadcast(index)  # at most 2 * per_class examples of at most `terms` terms
-    scored = common.map_arrow(
-        vectors, lambda batches: _score(batches, sent, k), "id bigint, score double, evidence array<bigint>"
-    )
+    parts = [
+        labels.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class) for label in sorted(classes)
+    ]
+    chosen: list[bytes] = []
+    rows: list = []
+    texts: dict[int, bytes] = {}
+    if parts:
+        sample = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+        sample = F.broadcast(common.saved(sample, "sample"))  # at most 2 * per_class rows
+        # One text per id, so that an id which many rows share gives one example.
+        examples = source.join(sample, "id").groupBy("id", "label").agg(F.min(F.struct(F.octet_length("text"), "text")).alias("t"))
+        examples = common.saved(examples.select("id", "label", "t.text"), "examples")
+        sizes = {row["label"]: row["n"] for row in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+        chosen = _telling_terms(examples, sizes.get(1, 0), sizes.get(0, 0), terms, chance)
+        places = {term: i for i, term in enumerate(chosen)}
+        kind = "id bigint, label int, terms array<bigint>, times array<bigint>, size bigint"
+        rows = common.map_arrow(examples, lambda batches: _example_vectors(batches, places), kind)
+        rows = rows.orderBy(F.xxhash64("id"), "id", "label").collect()  # at most 2 * per_class rows of `terms` terms
+    # Examples without a telling term stand for the labelled rows without one.
+    untold = {label: [r for r in rows if r["label"] == label and not r["terms"]] for label in classes}
+    short = {label: [r for r in untold[label] if r["size"] <= example_bytes][:general] for label in classes}
+    ids = [(r["id"],) for label in classes for r in short[label]]
+    if ids:
+        wanted = F.broadcast(spark.createDataFrame(sorted(set(ids)), "id bigint"))  # at most 2 * general ids
+        for row in examples.join(wanted, "id").select("id", F.col("text").cast("binary")).distinct().collect():
+            texts[row["id"]] = bytes(row["text"] or b"").lower()
+    own_terms = {i: _terms(t) for i, t in texts.items()}
+    rest = sorted({term for own in own_terms.values() for term in own}.difference(chosen))
+    known = {term: i for i, term in enumerate([*chosen, *rest])}
+    sent_terms = spark.sparkContext.broadcast(known)  # terms of a bounded sample of texts of bounded length
+    found = common.map_arrow(source.select("text"), lambda batches: _frequencies(batches, sent_terms), "term bigint, n bigint")
+    frequency = np.zeros(len(known) + 1)
+    for row in found.groupBy("term").agg(F.sum("n").alias("n")).toArrow().to_pylist():
+        frequency[row["term"]] = row["n"]
+    idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
+    stands_for = {label: classes[label] / max(1, sum(r["label"] == label for r in rows)) for label in classes}
+
+    def index(idf: np.ndarray, own: list, weights: dict[int, float], vectors: list) -> Index:
+        labels = np.array([r["label"] for r in own], dtype=np.float64)
+        out = Index(idf, [r["id"] for r in own], labels, np.array([weights[r["label"]] for r in own]), vectors)
+        out.calibrate(k)
+        return out
+
+    def arrays(own: dict[int, int], low: int) -> tuple[np.ndarray, np.ndarray]:
+        pairs = np.array(sorted(own.items()), dtype=np.int64).reshape(-1, 2)
+        return pairs[:, 0] - low, pairs[:, 1]
+
+    told = [arrays(dict(zip(r["terms"], r["times"], strict=True)), 0) for r in rows]
+    telling = index(idf[: len(chosen)], rows, stands_for, told)
+    few = [r for label in sorted(classes) for r in short[label]]
+    weights = {label: stands_for[label] * len(untold[label]) / max(1, len(short[label])) for label in classes}
+    whole_terms = [arrays({known[t]: n for t, n in own_terms[r["id"]].items()}, len(chosen)) for r in few]
+    whole = index(idf[len(chosen) :], few, weights, whole_terms)
+    if not few:
+        whole.without_terms = telling.without_terms
+    sent = spark.sparkContext.broadcast((known, telling, whole))
+    scored = common.map_arrow(source, lambda batches: _score(batches, sent, k), "id bigint, score double, evidence array<bigint>")
     return scored.withColumnRenamed("id", "doc_id")
