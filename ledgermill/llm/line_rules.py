@@ -3,11 +3,11 @@
 Each line is judged on its own by its bytes:
 
 - symbols: more than `symbol_share` of its words' bytes are symbols `# * $ % & | < >`;
-- navigation: it has two or more `|`, `>` or `»` separators that stand alone, or up to `menu_words` words without
-  closing punctuation between longer text;
+- navigation: it has two or more separators (`|`, `>` or `»` between white space) with at most four other words to each
+  item, or up to `menu_words` words without closing punctuation between longer text;
 - shouting: most of its letters A-Z are capitals, over at least three words;
-- stutter: more than half of its words repeat the word before them;
-- boilerplate: it holds one of BOILERPLATE.
+- stutter: more than half of its words repeat the word before them in the line;
+- boilerplate: it has at most `furniture_words` words and holds one of BOILERPLATE.
 
 A document is rejected if it fails the base rules (under 20 words, or more than 30 % of its words in 8-word windows
 that occur twice), or if failing lines hold more than `most_lost` of its words.
@@ -45,10 +45,11 @@ RESULT = """n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines big
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_BAR = np.zeros(256, dtype=bool)
-_BAR[list(b"|>")] = True
 _CLOSING = np.zeros(256, dtype=bool)
 _CLOSING[list(b".!?\"':;,)]")] = True
+_SEPARATORS = np.concatenate(
+    [common.span_hashes(np.frombuffer(x, dtype=np.uint8), np.array([0]), np.array([len(x)])) for x in (b"|", b">", b"\xc2\xbb")]
+)
 
 
 def _judge(
@@ -57,6 +58,7 @@ def _judge(
     with_text: bool,
     symbol_share: float,
     menu_words: int,
+    furniture_words: int,
     most_lost: float,
 ) -> Iterator[pa.RecordBatch]:
     for batch, texts in common.row_blocks(batches):
@@ -75,15 +77,17 @@ def _judge(
         inked = common.between(letters, starts, ends)
         capitals = common.between((data >= 65) & (data <= 90), starts, ends)
         smalls = common.between((data >= 97) & (data <= 122), starts, ends)
-        bars = common.between(_BAR[data], starts, ends)
-        echo = np.zeros(len(hashes), dtype=bool)
-        echo[1:] = hashes[1:] == hashes[:-1]
-        echoes = common.between(echo, np.searchsorted(words.starts, starts), np.searchsorted(words.starts, ends))
+        own_words = np.searchsorted(words.starts, starts), np.searchsorted(words.starts, ends)
+        bars = common.between(np.isin(hashes, _SEPARATORS), *own_words)
+        echo = np.zeros(len(hashes) + 1, dtype=bool)
+        echo[1:-1] = hashes[1:] == hashes[:-1]
+        echo[own_words[0]] = False
+        echoes = common.between(echo, *own_words)
         last = words.ends[np.maximum(np.searchsorted(words.starts, ends) - 1, 0)] - 1 if len(words.ends) else starts
         closed = _CLOSING[data[last]] if len(data) else np.zeros(0, dtype=bool)
         failed = filled & (
             (symbols > symbol_share * np.maximum(inked, 1))
-            | (bars >= 2)
+            | ((bars >= 2) & (line_words - bars <= 4 * (bars + 1)))
             | ((line_words <= menu_words) & ~closed & (n_words[owner] > 4 * menu_words))
             | ((line_words >= 3) & (capitals > 2 * smalls))
             | ((line_words >= 3) & (2 * echoes > line_words))
@@ -92,7 +96,8 @@ def _judge(
         for phrase in BOILERPLATE:
             at = low.find(phrase)
             while at >= 0:
-                failed[np.searchsorted(starts, at, side="right") - 1] = True
+                line = np.searchsorted(starts, at, side="right") - 1
+                failed[line] |= line_words[line] <= furniture_words
                 at = low.find(phrase, at + 1)
         lost = np.zeros(len(n_words), dtype=np.int64)
         np.add.at(lost, owner[failed], line_words[failed])
@@ -126,6 +131,7 @@ def line_quality(
     with_text: bool = False,
     symbol_share: float = 0.1,
     menu_words: int = 2,
+    furniture_words: int = 20,
     most_lost: float = 0.4,
 ) -> DataFrame:
     """One row per document: the columns of `carry`, `clean_text` if `with_text`, and RESULT. One narrow pass."""
@@ -134,6 +140,6 @@ def line_quality(
     kinds = ", ".join(f"{name} {kind}" for name, kind in source.dtypes if name != "text")
     schema = f"{kinds}, {'clean_text string, ' if with_text else ''}{RESULT}"
     out = common.map_arrow(
-        source, lambda batches: _judge(batches, kept, with_text, symbol_share, menu_words, most_lost), schema
+        source, lambda batches: _judge(batches, kept, with_text, symbol_share, menu_words, furniture_words, most_lost), schema
     )
     return out.toDF(*carry, *out.columns[len(carry) :])
