@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.operators import issue_life
 from ledgermill.operators.issues import issue_log
 from ledgermill.operators.keys import repeated_keys
 from ledgermill.plans import checks, marts, reports, staging
@@ -110,6 +111,18 @@ def _write_issues(spark: SparkSession, layout: Layout, id_type: str) -> None:
     overwrite(issues, layout.issues)
 
 
+def _write_issue_life(spark: SparkSession, warehouse: Warehouse, layout: Layout) -> None:
+    """Carries the issues of the last published run that kept them on to this one."""
+    earlier = [kept.issue_life for kept in warehouse.kept_layouts() if warehouse.has(kept.issue_life)]
+    life = read_table(spark, earlier[-1]) if earlier else None
+    overwrite(issue_life.advance(life, read_table(spark, layout.issues), F.current_timestamp()), layout.issue_life)
+
+
+def read_issue_life(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Issues over all runs: when each was first and last found, and when it was resolved."""
+    return read_table(spark, layout.issue_life)
+
+
 def with_stored_handle(spark: SparkSession, layout: Layout) -> DataFrame:
     """Staging rows with the handle of their stored row."""
     stored = with_row_handle(read_table(spark, layout.parsed)).where(F.col("outcome") == CLEAN)
@@ -236,6 +249,7 @@ def _run(
     split = write_staging(spark, layout, id_type)
     log.info("clean rows: %d, rejected rows: %d", split.clean, split.rejected)
     repeated_ids = write_marts(spark, layout, as_of, id_type)
+    _write_issue_life(spark, warehouse, layout)
     tables = read_tables(spark, layout)
     known = {("stg_transactions", "unique", "transaction_id"): repeated_ids}
     test_results = checks.run_tests(tables, known=known).collect()

@@ -34,6 +34,10 @@ class Layout:
     def issues(self) -> str:
         return f"{self.root}/raw/dq_issues"
 
+    @property
+    def issue_life(self) -> str:
+        return f"{self.root}/raw/dq_issue_life"
+
     @property
     def parsed(self) -> str:
         return f"{self.root}/staging/parsed_transactions"

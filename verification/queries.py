@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators import month_cells
+from ledgermill.operators.issue_life import advance
 from ledgermill.operators.issues import issue_log
 from ledgermill.operators.keys import keys_without_parent, repeated_keys, rows_without_parent
 from ledgermill.operators.running_total import with_running_total
@@ -572,6 +573,18 @@ def dq_issue_count(spark: SparkSession, folder: str) -> DataFrame:
     return reports.row_count(issue_log(raw(spark, folder)), "issue_count")
 
 
+def issue_life(spark: SparkSession, folder: str) -> DataFrame:
+    """The life of all issues after three runs, each of which finds some that others don't."""
+    log = issue_log(raw(spark, folder))
+    number = F.coalesce("row_number", F.lit(1))
+    runs = (number % 2 != 0, F.col("column_name") != "price", number % 5 != 0)
+    life = None
+    for day, found in enumerate(runs, 1):
+        life = advance(life, log.where(found), F.lit(dt.datetime(2024, 1, day)))
+    stamps = ("first_found", "last_found", "resolved_at")
+    return life.drop("issue_key").withColumns({name: F.to_date(name) for name in stamps})
+
+
 def issues_by_type(spark: SparkSession, folder: str) -> DataFrame:
     return reports.issues_by_type(issue_log(raw(spark, folder)))
 
@@ -680,6 +693,7 @@ QUERIES: dict[str, Query] = {
         dq_issues,
         dq_issue_count,
         issues_by_type,
+        issue_life,
         layer_row_counts,
         sample_raw,
         sample_staging,
