@@ -5,7 +5,7 @@
    inflected forms meet. There are two vector spaces. The telling one has the `terms` terms whose presence in examples
    tells most about the label, without those that chance alone could give among so many. The whole one has all terms of
    the examples that hold no telling term: at most `general` per class, each of at most `example_bytes` of text.
-3. One pass over all texts sums document frequencies of both.
+3. One pass over all texts writes the counts of their terms in both; document frequencies are summed from all of them.
 4. In each space examples are sorted and cut into blocks of BLOCK; each term keeps the highest weight that it has in each
    block. A document visits blocks in order of their bound on the cosine and stops when the bound is below the k-th best,
    so its k nearest examples are exact. Texts with a telling term are searched there, all others over the whole space.
@@ -77,14 +77,29 @@ def _numbers(text: bytes, get) -> dict[int, int]:
     return own
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    """Per task: the texts that hold each known term, and at the end the number of all texts."""
-    known = sent.value
-    counts = np.zeros(len(known) + 1, dtype=np.int64)
+def _vectors(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    """Numbers of the known terms of each text, rising, and their counts."""
+    get = sent.value.get
     for batch, texts in common.row_blocks(batches):
         texts = texts.lower()
+        numbers, times, ends = [], [], [0]
         for i in range(batch.num_rows):
-            counts[list(_numbers(texts.text(i), known.get))] += 1
+            own = _numbers(texts.text(i), get)
+            at, n = (np.fromiter(x, dtype=np.int32, count=len(own)) for x in (own.keys(), own.values()))
+            order = np.argsort(at)
+            numbers.append(at[order])
+            times.append(n[order])
+            ends.append(ends[-1] + len(at))
+        ends = pa.array(ends, type=pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (numbers, times)]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *lists], names=["id", "terms", "times"])
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch], n_terms: int) -> Iterator[pa.RecordBatch]:
+    """Per task: the vectors that hold each term, and at the end the number of all vectors."""
+    counts = np.zeros(n_terms + 1, dtype=np.int64)
+    for batch in batches:
+        counts += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=n_terms + 1)
         counts[-1] += batch.num_rows
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["term", "n"])
@@ -187,21 +202,24 @@ class Index:
 
 
 def _score(batches: Iterator[pa.RecordBatch], sent, k: int) -> Iterator[pa.RecordBatch]:
-    known, telling, whole = sent.value
+    telling, whole = sent.value
+    low = len(telling.idf)
     seen: dict[bytes, tuple[float, list[int]]] = {}
-    for batch, texts in common.row_blocks(batches):
-        texts = texts.lower()
+    for batch in batches:
+        offsets = batch.column("terms").offsets.to_numpy()
+        all_terms, all_times = (batch.column(name).values.to_numpy() for name in ("terms", "times"))
         scores, evidence = [], []
-        for i in range(batch.num_rows):
-            own = _numbers(texts.text(i), known.get)
-            told = {at: n for at, n in own.items() if at < len(telling.idf)}
-            index, low = (telling, 0) if told else (whole, len(telling.idf))
-            found = np.array(sorted((told or own).items()), dtype=np.int64).reshape(-1, 2)
-            key = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+        for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            terms, times = all_terms[start:end], all_times[start:end]
+            told = int(np.searchsorted(terms, low))
+            index = telling if told else whole
+            if told:
+                terms, times = terms[:told], times[:told]
+            key = hashlib.blake2b(terms.tobytes() + times.tobytes(), digest_size=16).digest()
             if key not in seen:
                 if len(seen) >= REMEMBERED:
                     seen.clear()
-                seen[key] = index.judged(*index.vector(found[:, 0] - low, found[:, 1]), k)
+                seen[key] = index.judged(*index.vector(terms if told else terms - low, times), k)
             score, ids = seen[key]
             scores.append(score)
             evidence.append(ids)
@@ -287,7 +305,10 @@ def neighbour_scores(
     rest = sorted({term for own in own_terms.values() for term in own}.difference(chosen))
     known = {term: i for i, term in enumerate([*chosen, *rest])}
     sent_terms = spark.sparkContext.broadcast(known)  # terms of a bounded sample of texts of bounded length
-    found = common.map_arrow(source.select("text"), lambda batches: _frequencies(batches, sent_terms), "term bigint, n bigint")
+    kind = "id bigint, terms array<int>, times array<int>"
+    vectors = common.saved(common.map_arrow(source, lambda batches: _vectors(batches, sent_terms), kind), "vectors")
+    n_terms = len(known)
+    found = common.map_arrow(vectors.select("terms"), lambda batches: _frequencies(batches, n_terms), "term bigint, n bigint")
     frequency = np.zeros(len(known) + 1)
     for row in found.groupBy("term").agg(F.sum("n").alias("n")).toArrow().to_pylist():
         frequency[row["term"]] = row["n"]
@@ -312,6 +333,6 @@ def neighbour_scores(
     whole = index(idf[len(chosen) :], few, weights, whole_terms)
     if not few:
         whole.without_terms = telling.without_terms
-    sent = spark.sparkContext.broadcast((known, telling, whole))
-    scored = common.map_arrow(source, lambda batches: _score(batches, sent, k), "id bigint, score double, evidence array<bigint>")
+    sent = spark.sparkContext.broadcast((telling, whole))
+    scored = common.map_arrow(vectors, lambda batches: _score(batches, sent, k), "id bigint, score double, evidence array<bigint>")
     return scored.withColumnRenamed("id", "doc_id")
