@@ -7,7 +7,7 @@ remaining error get tables of their own, boosted in turn as well. A text's score
 of its bins' entries: vectorised additions, each of which can be read off as the part a feature plays.
 
 Defined results: NULL and empty texts have features of 0 and are scored like others. Rows that repeat an id are scored
-each; of labels that repeat an id, each counts. Rows without id or label are not learnt from. With no labels, or labels
+each; as an example, such an id has its least features, and labels that repeat an id and label count once. Rows without id or label are not learnt from. With no labels, or labels
 of one kind, the score is their smoothed frequency. Other columns are not read.
 """
 
@@ -224,9 +224,11 @@ def additive_scores(
     most `sample_rows` of them, those whose ids have the smallest hashes, are used to fit."""
     source = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     measured = common.saved(common.map_arrow(source, _measure, "id bigint, features array<float>"), "features")
-    labels = labels.where("id IS NOT NULL AND label IN (0, 1)")
-    sample = labels.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("id", "label")
-    rows = measured.join(F.broadcast(sample), "id").orderBy("id", "label").toArrow()  # at most sample_rows ids
+    labels = labels.where("id IS NOT NULL AND label IN (0, 1)").select("id", "label").distinct()
+    sample = labels.orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows)
+    # One row per id, the least by features, so that an id which many rows share gives one example.
+    rows = measured.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("features").alias("features"))
+    rows = rows.orderBy("id", "label").toArrow()  # at most sample_rows rows
     features = _matrix(rows.column("features").combine_chunks()) if rows.num_rows else np.zeros((0, len(FEATURES)))
     model = fit(features, rows.column("label").to_numpy().astype(np.float64))
     sent = docs.sparkSession.sparkContext.broadcast(model)

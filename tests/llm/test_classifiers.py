@@ -197,3 +197,13 @@ def test_an_id_of_many_rows_is_one_example(spark):
     got = neighbour_scores(helpers.documents(spark, rows), labels).collect()
     assert len(got) == len(rows)
     assert next(r["evidence"] for r in got if r["doc_id"] == 3) == [2, 1]
+
+
+def test_quality_takes_one_row_of_an_id_that_many_share(spark):
+    rnd = random.Random(9)
+    rows = [(i, helpers.prose(rnd, 60) if i % 2 else "$$$ ### " * 20) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(1, 1)] * 3, LABELS)
+    once = additive_scores(helpers.documents(spark, rows), labels).collect()
+    often = additive_scores(helpers.documents(spark, rows + [rows[1]] * 400), labels).collect()
+    assert {(r["doc_id"], r["score"]) for r in once} == {(r["doc_id"], r["score"]) for r in often}
+    assert len(often) == len(rows) + 400
