@@ -7,8 +7,9 @@ remaining error get tables of their own, boosted in turn as well. A text's score
 of its bins' entries: vectorised additions, each of which can be read off as the part a feature plays.
 
 Defined results: NULL and empty texts have features of 0 and are scored like others. Rows that repeat an id are scored
-each; as an example, such an id has its least features, and labels that repeat an id and label count once. Rows without id or label are not learnt from. With no labels, or labels
-of one kind, the score is their smoothed frequency. Other columns are not read.
+each; as an example, such an id has its least features, and labels that repeat an id and label count once. Rows without
+id or label are not learnt from. With no labels, or labels of one kind, the score is their smoothed frequency. Other
+columns are not read.
 """
 
 from collections.abc import Iterator
