@@ -236,7 +236,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     Every round first links each node's larger neighbours to its smallest one, then each node's smaller neighbours to
     the smallest of them, until all links are stars around the smallest nodes. The number of rounds grows with the
     logarithm of the number of nodes. A node's neighbours are never gathered: both steps are a minimum per node,
-    combined before its shuffle, joined back to the links.
+    combined before its shuffle, written, and joined back to the links, so that the links of a large star's centre are
+    split over tasks.
     """
     links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = saved(links, "links")
@@ -249,10 +250,10 @@ def connected_components(links: DataFrame) -> DataFrame:
         if ends.where("up > 1 OR up = 1 AND down = 1").isEmpty():
             break
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = saved(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = saved(large.distinct(), "links")
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        lowest = saved(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
         links = saved(small.unionAll(lowest.select("a", F.col("m").alias("b"))).distinct(), "links")
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))

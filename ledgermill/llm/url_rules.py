@@ -111,10 +111,13 @@ def judge_urls(
     rarest = literal.join(counts, "token", "left").groupBy("number")
     rarest = rarest.agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "token")).alias("rarest"))
     index = table.drop("tokens").join(rarest.select("number", F.col("rarest.token").alias("token")), "number")
+    # Written, as a hot token or URL is only split where no aggregate shares the join's stage.
+    index = common.saved(index, "index")
     fits = held.join(index, "token").where(F.expr("concat(host, path) RLIKE pattern"))
     order = F.struct(F.col("name").isNotNull().alias("named"), "rank", F.col("verdict") == "block", "name", "verdict")
     best = fits.groupBy("url").agg(F.max(order).alias("best"))
     best = best.select(F.col("url").alias("judged"), F.col("best.name").alias("rule"), F.col("best.verdict").alias("v"))
+    best = common.saved(best, "verdicts")
     out = source.join(best, F.col("url") == F.col("judged"), "left")
     host, path = (F.coalesce(x, F.lit("")) for x in (host, path))
     return out.select(
