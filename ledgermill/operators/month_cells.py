@@ -2,8 +2,9 @@
 
 A cell has counts, sums, least and greatest values, which add up over months and parts of months. A table of cells that
 is stored in month folders beside the fact lets a report read only the months it needs, and a refresh rewrite only the
-months it touches. Distinct customers and products are exact, as both are keys of the cells; distinct transaction ids
-equal the row counts as long as ids are unique, which the caller knows.
+months it touches. Distinct customers and products are exact, as both are keys of the cells. Distinct transaction ids
+equal the row counts as long as ids are unique; where they are not, the caller gives the surplus of rows over ids
+(operators/id_sets.py), which is taken off.
 """
 
 import datetime as dt
@@ -65,13 +66,17 @@ def run_summary(table: DataFrame) -> DataFrame:
     )
 
 
-def dim_customer(table: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """The same as marts.dim_customer for unique transaction ids."""
-    return marts.customer_dimension(table.select("customer_id", "product_name", "rows", "first_day", "last_day"), as_of)
+def dim_customer(table: DataFrame, as_of: dt.date | None = None, surplus: DataFrame | None = None) -> DataFrame:
+    """The same as marts.dim_customer. `surplus` has (customer_id, surplus) where transaction ids repeat."""
+    by_name = table.select("customer_id", "product_name", "rows", "first_day", "last_day")
+    if surplus is not None:
+        off = surplus.select("customer_id", (-F.col("surplus")).alias("rows"))
+        by_name = by_name.unionByName(off, allowMissingColumns=True)
+    return marts.customer_dimension(by_name, as_of)
 
 
-def dim_product(table: DataFrame) -> DataFrame:
-    """The same as marts.dim_product for unique transaction ids."""
+def dim_product(table: DataFrame, surplus: DataFrame | None = None) -> DataFrame:
+    """The same as marts.dim_product. `surplus` has (product_id, product_name, surplus) where transaction ids repeat."""
     known = table.where(F.col("product_id").isNotNull())
     per_customer = known.groupBy("product_id", "product_name", "customer_id").agg(
         F.sum("rows").alias("ids"),
@@ -79,4 +84,8 @@ def dim_product(table: DataFrame) -> DataFrame:
         F.sum("price_sum").alias("price_sum"),
         F.sum("spend").alias("revenue"),
     )
+    if surplus is not None:
+        off = surplus.where(F.col("product_id").isNotNull())
+        off = off.select("product_id", "product_name", (-F.col("surplus")).alias("ids"))
+        per_customer = per_customer.unionByName(off, allowMissingColumns=True)
     return marts.product_dimension(per_customer)

@@ -1,10 +1,10 @@
 """A batch run that reads only new files and rewrites only the months they touch.
 
 Below the root, `store/` holds what refreshes share and never change: batches of raw and parsed rows, one per load, and
-parts of the fact in month folders, with the index of its running totals and the cells of its reports. A run's own folder
-says which of them count: the manifest of files, and the parts that each month is made of. So publication is the same
-switch as for a full run, readers of the run before keep their tables, and a refresh that breaks off leaves only folders
-that no manifest names; the next one removes them.
+parts of the fact in month folders, with the index of its running totals, the cells of its reports and the sets of its
+ids. A run's own folder says which of them count: the manifest of files, and the parts that each month is made of. So
+publication is the same switch as for a full run, readers of the run before keep their tables, and a refresh that breaks
+off leaves only folders that no manifest names; the next one removes them.
 
     new or changed files -> a batch of raw rows -> a batch of parsed rows -> months touched
         days after all of a month's stored days:   one more part with the new rows
@@ -12,8 +12,10 @@ that no manifest names; the next one removes them.
         all other months:                          keep their files
 
 Running totals are stored since the month's beginning and carried over months by the index (operators/carried_total.py).
-Dimensions and the summary come from the cells (operators/month_cells.py). The driver sees the paths of new files, and a
-row per month and part. Table tests read the new batch and the touched months; only the uniqueness of ids needs all ids.
+Dimensions and the summary come from the cells (operators/month_cells.py). Ids are stored as sets of bits per month
+(operators/id_sets.py): their uniqueness over all months is checked on these, and fact rows of untouched months are read
+only where an id may repeat. The driver sees the paths of new files, and a row per month and part. Table tests read the
+new batch and the touched months.
 """
 
 import datetime as dt
@@ -28,13 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.operators import carried_total as carry
-from ledgermill.operators import month_cells
+from ledgermill.operators import id_sets, month_cells
 from ledgermill.operators.carried_total import CarriedTotal, month_of
 from ledgermill.operators.issues import issue_log
-from ledgermill.operators.keys import repeated_keys
 from ledgermill.operators.running_total import with_running_total
 from ledgermill.plans import checks, marts, staging
-from ledgermill.plans.run import FACT_FOLDERS, SplitCounts, count_repeated_ids, publish
+from ledgermill.plans.run import FACT_FOLDERS, SplitCounts, publish
 from ledgermill.schemas import FACT_COLUMNS, RAW_SCHEMA
 from ledgermill.sources import file_manifest as manifests
 from ledgermill.sources.file_manifest import CHANGED, NEW, REMOVED
@@ -138,6 +139,16 @@ _INDEX_SCHEMA = T.StructType(
 )
 
 
+_IDS_SCHEMA = T.StructType(
+    [
+        T.StructField(id_sets.WORD, T.LongType()),
+        T.StructField(id_sets.BITS, T.LongType()),
+        T.StructField(id_sets.ROWS, T.LongType()),
+        *[T.StructField(name, T.IntegerType()) for name in FACT_FOLDERS],
+    ]
+)
+
+
 class Stored:
     """The tables of one published refresh."""
 
@@ -174,6 +185,25 @@ class Stored:
         schema = _cells_schema(self.spark, self.id_type)
         return _parts(self.spark, self.store, "cells", self.months if months is None else months, schema)
 
+    def ids(self, months: list[Row] | None = None) -> DataFrame:
+        """The words of the transaction ids (operators/id_sets.py) of each part and month."""
+        return _parts(self.spark, self.store, "ids", self.months if months is None else months, _IDS_SCHEMA)
+
+    def suspect_months(self) -> list[Row]:
+        """The parts of months that have rows whose id may occur more than once."""
+        numbers = id_sets.suspects(self.ids())
+        months = id_sets.words_numbered(self.ids(), numbers).select(*FACT_FOLDERS).distinct().collect()
+        found = {100 * row.transaction_year + row.transaction_month for row in months}
+        return [part for part in self.months if part.month in found]
+
+    def repeated_ids(self) -> DataFrame:
+        """(key, rows) of the transaction ids that occur more than once."""
+        return id_sets.repeated_ids(self.stored_fact(self.suspect_months()), "transaction_id", self.ids())
+
+    def surplus(self, *keys: str) -> DataFrame:
+        """(keys, surplus) where rows outnumber transaction ids."""
+        return id_sets.surplus_rows(self.stored_fact(self.suspect_months()), "transaction_id", self.ids(), *keys)
+
     def tables(self) -> dict[str, DataFrame]:
         """All tables by name, like those of a full run."""
         parsed = self.parsed()
@@ -251,14 +281,17 @@ def _changes(old: list[Row], new: dict[int, Row], dead: set[int]) -> dict[int, s
 def _write_months(
     spark: SparkSession, layout: Layout, store: Store, name: str, rows: DataFrame, kept_index: DataFrame
 ) -> None:
-    """Writes the part of this run: fact rows with their totals since the month's beginning, index and cells. `kept_index`
-    has the index of the parts that stay before the new rows in their months."""
+    """Writes the part of this run: fact rows with their totals since the month's beginning, index, cells and sets of ids.
+    `kept_index` has the index of the parts that stay before the new rows in their months."""
     specs = totals()
     own = carry.month_totals(rows, specs[0]).unionByName(carry.month_totals(rows, specs[1]))
     index_path = f"{store.folder('totals')}/part={name}"
     overwrite(gathered(_by_month(own), *FACT_FOLDERS), index_path, FACT_FOLDERS)
     own = spark.read.schema(_INDEX_SCHEMA).parquet(index_path)
-    repeated = not repeated_keys(rows, "transaction_id").isEmpty()
+    words = id_sets.id_words(rows, "transaction_id", *FACT_FOLDERS).select(*_IDS_SCHEMA.names)
+    ids_path = f"{store.folder('ids')}/part={name}"
+    overwrite(gathered(words, *FACT_FOLDERS), ids_path, FACT_FOLDERS)
+    repeated = not id_sets.suspects(spark.read.schema(_IDS_SCHEMA).parquet(ids_path)).isEmpty()
     out = rows
     for spec in specs:
         starts_path = layout.work(f"starts-{spec.stored}")
@@ -290,11 +323,8 @@ def merged_dimension(new: DataFrame, old: DataFrame | None, keys: tuple[str, ...
 
 def _write_dimensions(layout: Layout, now: Stored, before: Stored | None, as_of: dt.date | None, unique: bool) -> None:
     spark = now.spark
-    if unique:
-        customers, products = month_cells.dim_customer(now.cells(), as_of), month_cells.dim_product(now.cells())
-    else:
-        rows = now.fact_rows().withColumnRenamed("unit_price", "price")
-        customers, products = marts.dim_customer(rows, as_of), marts.dim_product(rows)
+    customers = month_cells.dim_customer(now.cells(), as_of, None if unique else now.surplus("customer_id"))
+    products = month_cells.dim_product(now.cells(), None if unique else now.surplus("product_id", "product_name"))
     old_customers = read_table(spark, before.layout.dim_customer) if before else None
     old_products = read_table(spark, before.layout.dim_product) if before else None
     overwrite(merged_dimension(customers, old_customers, ("customer_id",)), layout.dim_customer)
@@ -309,7 +339,7 @@ def _remove_unnamed(spark: SparkSession, warehouse: Warehouse, store: Store, nam
             used |= {row.part for row in read_table(spark, layout.months).select("part").distinct().collect()}
             batches = read_table(spark, layout.files).where("batch IS NOT NULL").select("batch").distinct()
             used |= {row.batch for row in batches.collect()}
-    for table in ("raw", "parsed", "fact", "totals", "cells"):
+    for table in ("raw", "parsed", "fact", "totals", "cells", "ids"):
         for folder in warehouse.parts(f"store/{table}"):
             own = folder.partition("=")[2]
             if own < name and own not in used:
@@ -389,7 +419,7 @@ def _refresh(
     overwrite(spark.createDataFrame(parts, MONTHS_SCHEMA), layout.months)
 
     now = Stored(spark, layout, store, id_type)
-    repeated_ids = count_repeated_ids(now.fact_rows())
+    repeated_ids = now.repeated_ids().count()
     _write_dimensions(layout, now, before, as_of, not repeated_ids)
     tables = {
         "customer_transactions_raw": raw,

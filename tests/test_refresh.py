@@ -14,6 +14,7 @@ from ledgermill.plans import run as runs
 from ledgermill.plans.checks import DataQualityError
 from ledgermill.plans.refresh import refresh, stored
 from ledgermill.operators import month_cells
+from ledgermill.operators.keys import repeated_keys
 from ledgermill.schemas import RAW_COLUMNS
 from ledgermill.sources.raw_csv import MalformedCsvError
 from ledgermill.sources.tables import FAILED, PUBLISHED, PUBLISHED_WITH_FAILURES, Warehouse
@@ -144,7 +145,7 @@ def test_old_parts_go_when_no_kept_run_names_them(spark, tmp_path):
     for step in range(3):
         put(folder, "a.csv", lines(1, 20, JULY, 5, seed=step))
         refresh(spark, str(folder), str(root), AS_OF, fail_on_tests=False)
-    for table in ("raw", "parsed", "fact", "totals", "cells"):
+    for table in ("raw", "parsed", "fact", "totals", "cells", "ids"):
         assert len(list((root / "store" / table).iterdir())) == Warehouse.KEPT_RUNS
     assert len(list((root / "runs").iterdir())) == Warehouse.KEPT_RUNS
     assert not list((root / "runs").glob("*/work"))
@@ -169,6 +170,26 @@ def test_a_refresh_that_fails_its_tests_is_not_published(spark, tmp_path):
     assert any("unique: 1 failures" in problem for problem in states[1].problems)
 
 
+def test_repeated_ids_are_found_and_counted_from_the_stored_sets(spark, tmp_path):
+    """An id in two months, one three times in a month, and an untouched month that no suspect word reaches."""
+    folder, root = tmp_path / "in", str(tmp_path / "w")
+    put(folder, "july.csv", lines(1, 80, JULY, 31))
+    put(folder, "august.csv", lines(1001, 80, AUGUST, 31, seed=2))
+    assert refresh(spark, str(folder), root, AS_OF, fail_on_tests=False).repeated_ids == 0
+    assert stored(spark, root).suspect_months() == []
+    again = "70,501.0,2023-09-0{},101,Product A,2.0,10.00,1.25"
+    other = "9000,502.0,2023-09-03,102,Product B,2.0,10.00,1.25"
+    july = "7000,503.0,2023-07-05,101,Product A,1.0,11.00,1.25"
+    put(folder, "september.csv", [again.format(1), again.format(2), *[other] * 3])
+    put(folder, "october.csv", [july, "7000,503.0,2023-10-05,101,Product A,1.0,11.00,1.25"])
+    result = refresh(spark, str(folder), root, AS_OF, fail_on_tests=False)
+    now = stored(spark, root)
+    assert {part.month for part in now.suspect_months()} == {202307, 202309, 202310}
+    want = {(r.key, r.rows) for r in repeated_keys(now.fact_rows(), "transaction_id").collect()}
+    assert {tuple(r) for r in now.repeated_ids().collect()} == want and len(want) == 3 == result.repeated_ids
+    assert_like_a_full_run(spark, folder, root, tmp_path, fail_on_tests=False)
+
+
 def test_malformed_lines_fail_a_refresh_or_are_set_aside(spark, tmp_path):
     folder, root = tmp_path / "in", str(tmp_path / "w")
     put(folder, "a.csv", ["1,501.0,2023-07-01,101,Product A,3.0,100.00,1.25", "2,501.0,2023-07-01,101,Product A,3,1,0,1,2"])

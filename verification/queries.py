@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.operators import month_cells
+from ledgermill.operators import id_sets, month_cells
 from ledgermill.operators.issue_life import advance
 from ledgermill.operators.issues import issue_log
 from ledgermill.operators.keys import keys_without_parent, repeated_keys, rows_without_parent
@@ -622,6 +622,44 @@ def duplicate_ids(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.select(F.col("key").alias("transaction_id"), F.col("rows").alias("duplicate_ids"))
 
 
+def repeated_ids_by_words(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as duplicate_ids, with only the rows of words that hold an id twice grouped by their id."""
+    repeats = id_sets.repeated_ids(with_repeats(fact_rows(spark, folder)), "transaction_id")
+    return repeats.select(F.col("key").alias("transaction_id"), F.col("rows").alias("duplicate_ids"))
+
+
+def _repeats_by_month(spark: SparkSession, folder: str, *keys: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fact rows with repeated ids, and their cells and words as they are stored per month."""
+    rows = with_repeats(fact_rows(spark, folder))
+    words = id_sets.id_words(rows, "transaction_id", *reports.MONTH, *keys)
+    stored_tables = []
+    for name, table in (("cells", month_cells.cells(rows)), ("words", words)):
+        path = shared_folder(spark, f"month-{name}")
+        overwrite(table, path, reports.MONTH)
+        stored_tables.append(read_table(spark, path))
+    return rows, *stored_tables
+
+
+def product_distinct_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct transaction ids per product from the words of its months."""
+    _, _, words = _repeats_by_month(spark, folder, "product_id")
+    return id_sets.distinct_ids(words, "product_id", name="distinct_ids")
+
+
+def dim_customer_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The dimension from stored months, over rows whose ids repeat."""
+    rows, cells, words = _repeats_by_month(spark, folder)
+    surplus = id_sets.surplus_rows(rows, "transaction_id", words, "customer_id")
+    return month_cells.dim_customer(cells, AS_OF, surplus).drop("created_at", "updated_at")
+
+
+def dim_product_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The dimension from stored months, over rows whose ids repeat."""
+    rows, cells, words = _repeats_by_month(spark, folder)
+    surplus = id_sets.surplus_rows(rows, "transaction_id", words, "product_id", "product_name")
+    return month_cells.dim_product(cells, surplus).drop("created_at")
+
+
 def fact_date_range(spark: SparkSession, folder: str) -> DataFrame:
     return reports.fact_date_range(fact_rows(spark, folder))
 
@@ -707,6 +745,10 @@ QUERIES: dict[str, Query] = {
         missing_values,
         orphaned_facts,
         duplicate_ids,
+        repeated_ids_by_words,
+        product_distinct_ids,
+        dim_customer_by_month,
+        dim_product_by_month,
         fact_date_range,
         year_month_coverage,
         recent_customer_spend,
