@@ -46,6 +46,29 @@ def _problem(header: list[str]) -> Column:
     )
 
 
+def csv_header(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> list[str]:
+    """The column names of the first file."""
+    return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path).columns
+
+
+def raw_rows(
+    rows: DataFrame, header: list[str], file: Column, file_name: Column, keep_problems: bool, keep_path: bool
+) -> DataFrame:
+    """The raw columns, stamps and what is asked for of parsed records."""
+    extra: list[Column] = []
+    if keep_problems:
+        whole = F.coalesce(F.col(LINE), F.concat_ws(",", *[F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in header]))
+        extra = [_problem(header).alias(PROBLEM), whole.alias(LINE)]
+    if keep_path:
+        extra.append(file.alias("source_path"))
+    return rows.select(
+        *[blank_to_null(F.col(name), NULL_TOKENS).alias(name) for name in RAW_COLUMNS],
+        F.current_timestamp().alias("loaded_at"),
+        file_name.alias("source_file"),
+        *extra,
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -57,13 +80,13 @@ def read_csv(
 
     No types are inferred. The header names come from the first file only, so every other file is checked
     against them (`enforceSchema=False`): a file with other columns or another order fails the load instead of
-    filling the wrong columns. `multi_line` allows newlines inside quotes, but then a file is not split, so
-    leave it off for large files. `keep_problems` adds, for records without a certain or full reading, what is
-    wrong with them and their text; without it such records are read as far as they go. `keep_path` adds the file's
-    full path as `source_path`.
+    filling the wrong columns. `multi_line` allows newlines inside quotes, but then a file is not split; large
+    files are read by `quoted_csv.read_quoted_csv`. `keep_problems` adds, for records without a certain or full reading,
+    what is wrong with them and their text; without it such records are read as far as they go. `keep_path` adds the
+    file's full path as `source_path`.
     """
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
-    header = spark.read.options(**options).csv(path).columns
+    header = csv_header(spark, path, multi_line)
     missing = [name for name in RAW_COLUMNS if name not in header]
     if missing:
         raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
@@ -72,18 +95,7 @@ def read_csv(
         text = text.add(LINE, T.StringType())
         options["columnNameOfCorruptRecord"] = LINE
     rows = spark.read.options(**options, enforceSchema=False).schema(text).csv(path)
-    extra: list[Column] = []
-    if keep_problems:
-        whole = F.coalesce(F.col(LINE), F.concat_ws(",", *[F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in header]))
-        extra = [_problem(header).alias(PROBLEM), whole.alias(LINE)]
-    if keep_path:
-        extra.append(F.col("_metadata.file_path").alias("source_path"))
-    return rows.select(
-        *[blank_to_null(F.col(name), NULL_TOKENS).alias(name) for name in RAW_COLUMNS],
-        F.current_timestamp().alias("loaded_at"),
-        F.col("_metadata.file_name").alias("source_file"),
-        *extra,
-    )
+    return raw_rows(rows, header, F.col("_metadata.file_path"), F.col("_metadata.file_name"), keep_problems, keep_path)
 
 
 def rejected_lines(rows: DataFrame) -> DataFrame:

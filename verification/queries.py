@@ -22,6 +22,7 @@ from ledgermill.plans.refresh import MONTHS_SCHEMA, refresh, stored
 from ledgermill.plans.run import publish, read_audit, read_staging, read_tables, write_marts, write_staging
 from ledgermill.schemas import RAW_COLUMNS
 from ledgermill.sources.orders_feed import raw_from_orders, read_raw_from_orders
+from ledgermill.sources.quoted_csv import read_quoted_csv
 from ledgermill.sources.raw_csv import QUARANTINE, load_raw, read_csv
 from ledgermill.sources.tables import (
     ROW_HANDLE,
@@ -155,19 +156,31 @@ def csv_load_without_malformed_lines(spark: SparkSession, folder: str) -> DataFr
     return read_table(spark, path).select(*RAW_COLUMNS)
 
 
-def csv_multi_line(spark: SparkSession, folder: str) -> DataFrame:
-    """Names with a line break, a comma and quotes, read back as one value each."""
+def _as_multi_line(spark: SparkSession, folder: str) -> str:
+    """The transactions as CSV files in which some names hold a line break, a comma and quotes."""
     odd = F.concat(F.col("product_name"), F.lit('\n"large", blue'))
     rows = raw_transactions(spark, folder)
     rows = rows.withColumn("product_name", F.when(F.col("product_id") == "102", odd).otherwise(F.col("product_name")))
     path = shared_folder(spark, "multi-line-csv")
     rows.write.options(header=True, quote='"', escape='"').csv(path)
-    read = read_csv(spark, path, multi_line=True, keep_problems=True)
+    return path
+
+
+def csv_multi_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Such names read back as one value each."""
+    read = read_csv(spark, _as_multi_line(spark, folder), multi_line=True, keep_problems=True)
     target = shared_folder(spark, "raw")
     load_raw(read, target)
     return read_table(spark, target).select(*RAW_COLUMNS)
 
 
+def csv_multi_line_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, with each file read by many tasks."""
+    target = shared_folder(spark, "raw")
+    load_raw(read_quoted_csv(spark, _as_multi_line(spark, folder), keep_problems=True), target)
+    return read_table(spark, target).select(*RAW_COLUMNS)
+
+
 # --- staging ---------------------------------------------------------------------------------------------
 
 KEYS = ("transaction_id", "customer_id", "transaction_date", "product_id", "product_name")
@@ -696,6 +709,7 @@ QUERIES: dict[str, Query] = {
         csv_malformed_lines,
         csv_load_without_malformed_lines,
         csv_multi_line,
+        csv_multi_line_split,
         base_transactions,
         quality_flags,
         stg_transactions,
