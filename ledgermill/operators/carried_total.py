@@ -8,7 +8,8 @@ outside their month:
 - rows on earlier days, or rows that go away, have their month totalled again; later months only see another index.
 
 The index is written in the same parts as the rows, and a month's parts add up. It has at most one entry per group and
-month and part; sums over it are combined before they are shuffled.
+month and part; sums over it are combined before they are shuffled. Where all groups together have few entries, as those
+of a handful of products do, a reader broadcasts them and its wide rows stay where they are.
 """
 
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgermill.operators.running_total import NO_GROUP, RunningTotal
+from ledgermill.operators.running_total import MOST_ENTRIES, NO_GROUP, RunningTotal
 
 
 @dataclass(frozen=True)
@@ -50,12 +51,11 @@ def _before(index: DataFrame, kind: str) -> DataFrame:
     return own.select("slot", "month", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
 
 
-def starts(own: DataFrame, stored: DataFrame, spec: CarriedTotal) -> DataFrame:
-    """(slot, month, start): what to add to a running total over the given rows, whose index entries are `own`, to get the
-    total since the month's beginning. `stored` has the entries of the rows that the same months keep."""
-    kept = stored.where(F.col("kind") == spec.total.name).groupBy("slot", "month").agg(F.sum("total").alias("kept"))
-    both = _before(own, spec.total.name).join(kept, ["slot", "month"], "left")
-    return both.select("slot", "month", (F.coalesce("kept", F.lit(0)) - F.col("before")).alias("start"))
+def month_to_date(index: DataFrame, spec: CarriedTotal) -> DataFrame:
+    """(slot, month, start): what the rows of the given index entries add up to, from which later rows of their months
+    start."""
+    own = index.where(F.col("kind") == spec.total.name)
+    return own.groupBy("slot", "month").agg(F.sum("total").alias("start"))
 
 
 def with_offset(rows: DataFrame, offsets: DataFrame, offset: str, spec: CarriedTotal, column: str, name: str) -> DataFrame:
@@ -68,7 +68,14 @@ def with_offset(rows: DataFrame, offsets: DataFrame, offset: str, spec: CarriedT
     return joined.select(*others, summed.alias(name))
 
 
-def carried(rows: DataFrame, index: DataFrame, spec: CarriedTotal) -> DataFrame:
-    """Stored rows with the running total over all months, in the place of the stored one."""
-    out = with_offset(rows, _before(index, spec.total.name), "before", spec, spec.stored, spec.total.name)
-    return out.drop(spec.stored)
+def carried(rows: DataFrame, index: DataFrame, *specs: CarriedTotal, most_entries: int = MOST_ENTRIES) -> DataFrame:
+    """Stored rows with the running totals over all months, in the place of the stored ones. The index is counted first:
+    a kind with at most `most_entries` entries is broadcast, others are joined by group and month."""
+    entries = {row.kind: row["count"] for row in index.groupBy("kind").count().collect()}
+    out = rows
+    for spec in specs:
+        offsets = _before(index, spec.total.name)
+        if entries.get(spec.total.name, 0) <= most_entries:
+            offsets = F.broadcast(offsets)
+        out = with_offset(out, offsets, "before", spec, spec.stored, spec.total.name).drop(spec.stored)
+    return out

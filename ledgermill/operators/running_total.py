@@ -41,7 +41,8 @@ DAY, STRETCH, FINER, COPIES = "_day", "_stretch", "_finer", "_copies"
 class RunningTotal:
     """Running sum of `value` per `group`, by `day` and then `key`.
 
-    `day` and `key` are not NULL. `hot_rows=0` treats every group as hot: for columns known to have few, large
+    `day`, `key` and `within` are not NULL. The sum starts anew for each value of the columns `within`, such as the month:
+    they are part of the group, so that a total per month takes no total over all months. `hot_rows=0` treats every group as hot: for columns known to have few, large
     groups. `handle` names columns that identify a row; give it where `key` may repeat, so that even the
     copies of one key are spread and get their totals in a fixed order.
     """
@@ -54,11 +55,16 @@ class RunningTotal:
     hot_rows: int = HOT_GROUP_ROWS
     chunk_rows: int = CHUNK_ROWS
     handle: tuple[str, str] | None = None
+    within: tuple[str, ...] = ()
     most_entries: int = MOST_ENTRIES
 
+    @property
+    def slot(self) -> list[str]:
+        return ["_slot", *self.within]
+
     @property
     def chunk(self) -> list[str]:
-        return ["_slot", DAY, STRETCH, FINER, *([COPIES] if self.handle else [])]
+        return [*self.slot, DAY, STRETCH, FINER, *([COPIES] if self.handle else [])]
 
     def limits(self, rows: int) -> tuple[int, int]:
         """Rows above which a group is hot, and above which a part of it is cut."""
@@ -75,14 +81,14 @@ class Chunks:
         self.hot = None
         narrow = source.select(*self._needed(source))
         if self.hot_rows:
-            sizes = narrow.groupBy(self._slot().alias("_slot")).agg(F.count(F.lit(1)).alias("_rows"))
-            self.hot = sizes.where(F.col("_rows") > self.hot_rows).select("_slot", F.lit(True).alias("_hot"))
+            sizes = narrow.groupBy(self._slot().alias("_slot"), *spec.within).agg(F.count(F.lit(1)).alias("_rows"))
+            self.hot = sizes.where(F.col("_rows") > self.hot_rows).select(*spec.slot, F.lit(True).alias("_hot"))
         self.lists: list[DataFrame] = []
         levels = [(STRETCH, F.col(spec.key), F.lit(True)), (FINER, F.col(spec.key), F.col("_low") < F.col("_high"))]
         if spec.handle:
             levels.append((COPIES, self._copy_hash(), F.col("_one_key")))
         for level, place, useful in levels:
-            on = ["_slot", DAY, *self._names()]
+            on = [*spec.slot, DAY, *self._names()]
             parts = self.mark(narrow).where("_hot").groupBy(*on).agg(
                 F.count(F.lit(1)).alias("_rows"),
                 F.min(place).alias("_low"),
@@ -98,7 +104,7 @@ class Chunks:
 
     def _needed(self, source: DataFrame) -> list[str]:
         spec = self.spec
-        return list(dict.fromkeys([spec.group, spec.day, spec.key, *(spec.handle or ())]))
+        return list(dict.fromkeys([spec.group, *spec.within, spec.day, spec.key, *(spec.handle or ())]))
 
     def _slot(self) -> Column:
         return F.coalesce(F.col(self.spec.group), F.lit(NO_GROUP))
@@ -116,7 +122,7 @@ class Chunks:
         if self.hot is None:
             rows = rows.withColumn("_hot", F.lit(True))
         else:
-            rows = rows.join(F.broadcast(self.hot), "_slot", "left")
+            rows = rows.join(F.broadcast(self.hot), spec.slot, "left")
         rows = rows.withColumn(DAY, F.when(F.col("_hot"), F.col(spec.day)))
         for number, cuts in enumerate(self.lists):
             level = [STRETCH, FINER, COPIES][number]
@@ -124,7 +130,7 @@ class Chunks:
             low, width = F.col(f"{level}_low"), F.col(f"{level}_width")
             half = place.cast("bigint") / 2 - low / 2
             found = F.when(width > 0, F.floor(half / width)).otherwise(0).cast("bigint")
-            on = ["_slot", DAY, *[STRETCH, FINER, COPIES][:number]]
+            on = [*spec.slot, DAY, *[STRETCH, FINER, COPIES][:number]]
             rows = rows.join(F.broadcast(cuts), on, "left").withColumn(level, F.coalesce(found, F.lit(0)))
             rows = rows.drop(f"{level}_low", f"{level}_width")
         return rows
@@ -141,17 +147,17 @@ def _offsets(source: DataFrame, chunks: Chunks) -> DataFrame:
         .groupBy(*spec.chunk)
         .agg(F.sum(spec.value).alias("_total"))
     )
-    in_day = W.partitionBy("_slot", DAY).orderBy(*spec.chunk[2:]).rowsBetween(*before)
-    across_days = W.partitionBy("_slot").orderBy(DAY).rowsBetween(*before)
+    in_day = W.partitionBy(*spec.slot, DAY).orderBy(*spec.chunk[len(spec.slot) + 1 :]).rowsBetween(*before)
+    across_days = W.partitionBy(*spec.slot).orderBy(DAY).rowsBetween(*before)
     days = (
-        totals.groupBy("_slot", DAY)
+        totals.groupBy(*spec.slot, DAY)
         .agg(F.sum("_total").alias("_day_total"))
-        .select("_slot", DAY, F.sum("_day_total").over(across_days).alias("_earlier_days"))
+        .select(*spec.slot, DAY, F.sum("_day_total").over(across_days).alias("_earlier_days"))
     )
     earlier, same_day = F.col("_earlier_days"), F.col("_earlier_chunks")
     return (
         totals.select(*spec.chunk, F.sum("_total").over(in_day).alias("_earlier_chunks"))
-        .join(days, ["_slot", DAY])
+        .join(days, [*spec.slot, DAY])
         .select(*spec.chunk, F.coalesce(earlier + same_day, earlier, same_day).alias("_before"))
     )
 
@@ -164,7 +170,7 @@ def with_running_total(rows: DataFrame, spec: RunningTotal, source: DataFrame |
     copies = [F.xxhash64(*spec.handle), *spec.handle] if spec.handle else []
     ordered = W.orderBy(spec.day, spec.key, *copies).rowsBetween(W.unboundedPreceding, W.currentRow)
     if n_rows <= spec.chunk_rows:
-        return rows.select(*rows.columns, F.sum(spec.value).over(ordered.partitionBy(spec.group)).alias(spec.name))
+        return rows.select(*rows.columns, F.sum(spec.value).over(ordered.partitionBy(spec.group, *spec.within)).alias(spec.name))
     chunks = Chunks(source, spec, n_rows)
     window = ordered.partitionBy(*spec.chunk)
     within, before = F.col("_within"), F.col("_before")

@@ -20,7 +20,8 @@ new batch and the touched months.
 
 import datetime as dt
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import lru_cache
@@ -176,10 +177,7 @@ class Stored:
         return self.stored_fact().select(*[c for c in FACT_COLUMNS if c not in [t.total.name for t in totals()]])
 
     def fact(self) -> DataFrame:
-        rows, index = self.stored_fact(), self.index()
-        for spec in totals():
-            rows = carry.carried(rows, index, spec)
-        return rows.select(*FACT_COLUMNS)
+        return carry.carried(self.stored_fact(), self.index(), *totals()).select(*FACT_COLUMNS)
 
     def cells(self, months: list[Row] | None = None) -> DataFrame:
         schema = _cells_schema(self.spark, self.id_type)
@@ -278,29 +276,49 @@ def _changes(old: list[Row], new: dict[int, Row], dead: set[int]) -> dict[int, s
     return out
 
 
-def _write_months(
-    spark: SparkSession, layout: Layout, store: Store, name: str, rows: DataFrame, kept_index: DataFrame
+def _at_once(*jobs: Callable[[], None]) -> None:
+    """Runs jobs that don't depend on each other, so that the short stages of one don't leave the others' cores idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
+def _write_fact(
+    spark: SparkSession, layout: Layout, store: Store, name: str, rows: DataFrame, kept_index: DataFrame | None
 ) -> None:
-    """Writes the part of this run: fact rows with their totals since the month's beginning, index, cells and sets of ids.
-    `kept_index` has the index of the parts that stay before the new rows in their months."""
-    specs = totals()
-    own = carry.month_totals(rows, specs[0]).unionByName(carry.month_totals(rows, specs[1]))
-    index_path = f"{store.folder('totals')}/part={name}"
-    overwrite(gathered(_by_month(own), *FACT_FOLDERS), index_path, FACT_FOLDERS)
-    own = spark.read.schema(_INDEX_SCHEMA).parquet(index_path)
+    """Writes the ids and the rows with their totals since the month's beginning."""
     words = id_sets.id_words(rows, "transaction_id", *FACT_FOLDERS).select(*_IDS_SCHEMA.names)
     ids_path = f"{store.folder('ids')}/part={name}"
     overwrite(gathered(words, *FACT_FOLDERS), ids_path, FACT_FOLDERS)
-    repeated = not id_sets.suspects(spark.read.schema(_IDS_SCHEMA).parquet(ids_path)).isEmpty()
+    repeated = id_sets.suspects(spark.read.schema(_IDS_SCHEMA).parquet(ids_path)).count()
     out = rows
-    for spec in specs:
-        starts_path = layout.work(f"starts-{spec.stored}")
-        overwrite(carry.starts(own, kept_index, spec), starts_path)
-        running = replace(spec.total, name=spec.stored, handle=HANDLE if repeated else None)
+    for spec in totals():
+        running = replace(spec.total, name=spec.stored, within=FACT_FOLDERS, handle=HANDLE if repeated else None)
         out = with_running_total(out, running, source=rows)
-        out = carry.with_offset(out, read_table(spark, starts_path), "start", spec, spec.stored, spec.stored)
+        if kept_index is not None:
+            starts_path = layout.work(f"starts-{spec.stored}")
+            overwrite(carry.month_to_date(kept_index, spec), starts_path)
+            out = carry.with_offset(out, read_table(spark, starts_path), "start", spec, spec.stored, spec.stored)
     overwrite(gathered(out, *FACT_FOLDERS), f"{store.folder('fact')}/part={name}", FACT_FOLDERS)
-    overwrite(gathered(month_cells.cells(rows), *FACT_FOLDERS), f"{store.folder('cells')}/part={name}", FACT_FOLDERS)
+
+
+def _write_months(
+    spark: SparkSession, layout: Layout, store: Store, name: str, rows: DataFrame, kept_index: DataFrame | None
+) -> None:
+    """Writes the part of this run: fact rows with their totals since the month's beginning, index, cells and sets of ids.
+    `kept_index` has the index of the parts that stay before the new rows in their months, if there are any."""
+    specs = totals()
+    own = carry.month_totals(rows, specs[0]).unionByName(carry.month_totals(rows, specs[1]))
+    tables = {"totals": _by_month(own), "cells": month_cells.cells(rows)}
+
+    def write(table: str) -> None:
+        overwrite(gathered(tables[table], *FACT_FOLDERS), f"{store.folder(table)}/part={name}", FACT_FOLDERS)
+
+    _at_once(
+        lambda: _write_fact(spark, layout, store, name, rows, kept_index),
+        lambda: write("totals"),
+        lambda: write("cells"),
+    )
 
 
 def merged_dimension(new: DataFrame, old: DataFrame | None, keys: tuple[str, ...]) -> DataFrame:
@@ -410,7 +428,7 @@ def _refresh(
         overwrite(touched, layout.work("touched"))
         touched = read_table(spark, layout.work("touched"))
         appended = [part for part in old if changes[part.month] == APPENDED]
-        kept_index = before.index(appended) if before else spark.createDataFrame([], _INDEX_SCHEMA)
+        kept_index = before.index(appended) if appended else None
         _write_months(spark, layout, store, name, touched, kept_index)
         parts += [
             Row(month=month, part=name, last_day=row.last_day, rows=row.rows, change=changes[month])

@@ -13,11 +13,12 @@ from ledgermill.plans import reports
 from ledgermill.plans import run as runs
 from ledgermill.plans.checks import DataQualityError
 from ledgermill.plans.refresh import refresh, stored
-from ledgermill.operators import month_cells
+from ledgermill.operators import carried_total, month_cells
 from ledgermill.operators.keys import repeated_keys
 from ledgermill.schemas import RAW_COLUMNS
 from ledgermill.sources.raw_csv import MalformedCsvError
 from ledgermill.sources.tables import FAILED, PUBLISHED, PUBLISHED_WITH_FAILURES, Warehouse
+from verification import queries
 
 AS_OF = dt.date(2023, 12, 1)
 STAMPS = ("loaded_at", "processed_at", "created_at", "updated_at", "audited_at", "discovered_at", "issue_id", "source_file")
@@ -190,6 +191,35 @@ def test_repeated_ids_are_found_and_counted_from_the_stored_sets(spark, tmp_path
     assert_like_a_full_run(spark, folder, root, tmp_path, fail_on_tests=False)
 
 
+def test_few_offsets_are_broadcast_and_many_are_joined(spark, tmp_path):
+    """Whatever Spark guesses of the index's size; the totals are the same."""
+    folder, root = tmp_path / "in", str(tmp_path / "w")
+    put(folder, "a.csv", lines(1, 200, JULY, 80))
+    refresh(spark, str(folder), root, AS_OF, fail_on_tests=False)
+    now, threshold = stored(spark, root), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = now.fact()
+        many = carried_total.carried(now.stored_fact(), now.index(), *refreshes.totals(), most_entries=0)
+        joins = [df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") for df in (few, many)]
+        many = many.select(*few.columns)
+        assert joins == [2, 0] and few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_refresh_query_sees_tables_that_have_changed(spark, tmp_path):
+    """Each call makes its own refreshes; one that went on with those of an earlier call would miss the new rows."""
+    days = F.expr("timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(int(id * 11 % 2404)) AS o_orderdate")
+    orders = spark.range(400).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit(90_000.5).alias("o_totalprice"), days
+    )
+    orders.where("id < 200").write.parquet(f"{tmp_path}/orders.parquet")
+    before = queries.refresh_fact(spark, str(tmp_path)).count()
+    orders.where("id >= 200").write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    assert 0 < before < queries.refresh_fact(spark, str(tmp_path)).count()
+
+
 def test_malformed_lines_fail_a_refresh_or_are_set_aside(spark, tmp_path):
     folder, root = tmp_path / "in", str(tmp_path / "w")
     put(folder, "a.csv", ["1,501.0,2023-07-01,101,Product A,3.0,100.00,1.25", "2,501.0,2023-07-01,101,Product A,3,1,0,1,2"])

@@ -52,6 +52,20 @@ def test_every_split_gives_the_same_totals(spark, hot_rows, chunk_rows):
     assert got.columns == ["id", "grp", "day", "amount", "total"]
 
 
+@pytest.mark.parametrize("hot_rows, chunk_rows", [(10**9, 10**6), (10**9, 64), (0, 64), (60, 16), (25, 200)])
+@pytest.mark.parametrize("handle", [None, ("id", "part")])
+def test_totals_start_anew_within_a_part_of_a_group(spark, hot_rows, chunk_rows, handle):
+    rows = skewed_rows(seed=hot_rows + chunk_rows)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("part", F.dayofmonth("day") % 3).repartition(5)
+    spec = RunningTotal("total", "grp", "amount", "day", "id", hot_rows, chunk_rows, handle, within=("part",))
+    got = with_running_total(df, spec)
+    want = {}
+    for part in range(3):
+        want |= expected([row for row in rows if row[2].day % 3 == part])
+    assert {row.id: row.total for row in got.collect()} == want
+    assert got.columns == ["id", "grp", "day", "amount", "part", "total"]
+
+
 def test_last_total_of_a_group_is_its_sum(spark):
     rows = [row for row in skewed_rows(seed=3) if row[3] is not None]
     df = spark.createDataFrame(rows, SCHEMA)

@@ -474,36 +474,30 @@ def _put_files(spark: SparkSession, rows: DataFrame, target: str) -> None:
             system.rename(part, place)
 
 
-_refreshed: dict[tuple[str, str], tuple[str, list[DataFrame]]] = {}
-
-
 def refreshed(spark: SparkSession, folder: str) -> tuple[str, list[DataFrame]]:
     """A root after three refreshes (all files, nothing new, all kinds of changes), and the tables of files and months of
-    each. The queries of one application that read it share it."""
-    known = (spark.sparkContext.applicationId, folder)
-    if known not in _refreshed:
-        place, root = shared_folder(spark, "files"), shared_folder(spark, "refreshed")
-        first, final = _arrivals(spark, folder)
-        seen = []
-        for load in (1, 2, 3):
-            if load == 1:
-                _put_files(spark, first, place)
-            elif load == 3:
-                _put_files(spark, final.where(F.col("file").isin("new", "late", str(WRONG_YEAR))), place)
-                stray = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{place}/stray.csv")
-                stray.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(stray, False)
-            result = refresh(spark, place, root, AS_OF, fail_on_tests=False)
-            now = stored(spark, root)
-            files = now.files.groupBy("state").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("row_count"))
-            months = spark.createDataFrame(now.months, MONTHS_SCHEMA)
-            months = months.groupBy("month", "change").agg(F.sum("rows").alias("row_count"), F.count(F.lit(1)).alias("parts"))
-            counts = {"load": load, "rows_read": result.loaded.rows_loaded}
-            for name, table in (("load-files", files), ("load-months", months)):
-                path = shared_folder(spark, name)
-                overwrite(common_columns(table, **counts), path)
-                seen.append(read_table(spark, path))
-        _refreshed[known] = root, seen
-    return _refreshed[known]
+    each. Every call makes its own, so that each query does its whole job whenever it is run."""
+    place, root = shared_folder(spark, "files"), shared_folder(spark, "refreshed")
+    first, final = _arrivals(spark, folder)
+    seen = []
+    for load in (1, 2, 3):
+        if load == 1:
+            _put_files(spark, first, place)
+        elif load == 3:
+            _put_files(spark, final.where(F.col("file").isin("new", "late", str(WRONG_YEAR))), place)
+            stray = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{place}/stray.csv")
+            stray.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(stray, False)
+        result = refresh(spark, place, root, AS_OF, fail_on_tests=False)
+        now = stored(spark, root)
+        files = now.files.groupBy("state").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("row_count"))
+        months = spark.createDataFrame(now.months, MONTHS_SCHEMA)
+        months = months.groupBy("month", "change").agg(F.sum("rows").alias("row_count"), F.count(F.lit(1)).alias("parts"))
+        counts = {"load": load, "rows_read": result.loaded.rows_loaded}
+        for name, table in (("load-files", files), ("load-months", months)):
+            path = shared_folder(spark, name)
+            overwrite(common_columns(table, **counts), path)
+            seen.append(read_table(spark, path))
+    return root, seen
 
 
 def refresh_files(spark: SparkSession, folder: str) -> DataFrame:
