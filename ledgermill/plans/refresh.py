@@ -345,8 +345,10 @@ def _write_dimensions(layout: Layout, now: Stored, before: Stored | None, as_of:
     products = month_cells.dim_product(now.cells(), None if unique else now.surplus("product_id", "product_name"))
     old_customers = read_table(spark, before.layout.dim_customer) if before else None
     old_products = read_table(spark, before.layout.dim_product) if before else None
-    overwrite(merged_dimension(customers, old_customers, ("customer_id",)), layout.dim_customer)
-    overwrite(merged_dimension(products, old_products, ("product_id", "product_name")), layout.dim_product)
+    _at_once(
+        lambda: overwrite(merged_dimension(customers, old_customers, ("customer_id",)), layout.dim_customer),
+        lambda: overwrite(merged_dimension(products, old_products, ("product_id", "product_name")), layout.dim_product),
+    )
 
 
 def _remove_unnamed(spark: SparkSession, warehouse: Warehouse, store: Store, name: str) -> None:
@@ -437,7 +439,8 @@ def _refresh(
     overwrite(spark.createDataFrame(parts, MONTHS_SCHEMA), layout.months)
 
     now = Stored(spark, layout, store, id_type)
-    repeated_ids = now.repeated_ids().count()
+    # Mostly no word is suspect, which one pass over the words tells; the others' ids take several.
+    repeated_ids = now.repeated_ids().count() if id_sets.suspects(now.ids()).count() else 0
     _write_dimensions(layout, now, before, as_of, not repeated_ids)
     tables = {
         "customer_transactions_raw": raw,

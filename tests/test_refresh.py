@@ -13,7 +13,7 @@ from ledgermill.plans import reports
 from ledgermill.plans import run as runs
 from ledgermill.plans.checks import DataQualityError
 from ledgermill.plans.refresh import refresh, stored
-from ledgermill.operators import carried_total, month_cells
+from ledgermill.operators import carried_total, id_sets, month_cells
 from ledgermill.operators.keys import repeated_keys
 from ledgermill.schemas import RAW_COLUMNS
 from ledgermill.sources.raw_csv import MalformedCsvError
@@ -191,6 +191,23 @@ def test_repeated_ids_are_found_and_counted_from_the_stored_sets(spark, tmp_path
     assert_like_a_full_run(spark, folder, root, tmp_path, fail_on_tests=False)
 
 
+def test_only_days_after_stored_ones_take_starts_and_words_are_merged_once(spark, tmp_path, monkeypatch):
+    """A first load sums each month on its own: no wide rows are joined to starts. Unique ids take one pass over all words,
+    besides the one over the words of the part."""
+    folder, root, calls = tmp_path / "in", str(tmp_path / "w"), []
+    for module, name in ((carried_total, "with_offset"), (id_sets, "suspects")):
+        original = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _f=original, _n=name: (calls.append(_n), _f(*a))[1])
+    put(folder, "july.csv", lines(1, 60, JULY, 20))
+    refresh(spark, str(folder), root, AS_OF, fail_on_tests=False)
+    assert sorted(calls) == ["suspects", "suspects"]
+    calls.clear()
+    put(folder, "july-end.csv", lines(1001, 60, dt.date(2023, 7, 21), 8, seed=2))
+    refresh(spark, str(folder), root, AS_OF, fail_on_tests=False)
+    assert sorted(calls) == ["suspects", "suspects", "with_offset", "with_offset"]
+    assert_like_a_full_run(spark, folder, root, tmp_path, fail_on_tests=False)
+
+
 def test_few_offsets_are_broadcast_and_many_are_joined(spark, tmp_path):
     """Whatever Spark guesses of the index's size; the totals are the same."""
     folder, root = tmp_path / "in", str(tmp_path / "w")
